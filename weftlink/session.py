@@ -3,13 +3,25 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application."""
+    sc = spark.sparkContext
+    if getattr(sc, "_weftlink_shipped", None) is None:
+        root = Path(__file__).resolve().parent
+        sc._weftlink_shipped = shutil.make_archive(os.path.join(tempfile.mkdtemp(), root.name), "zip", root.parent, root.name)
+        sc.addPyFile(sc._weftlink_shipped)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One Parquet table of a scale directory."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
