@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftlink.llm import mixing, names, sampling, tokens
+from weftlink.llm import addresses, mixing, names, sampling, tokens
 from weftlink.llm.sql import ORACLES
 from weftlink.session import cut, table
 
@@ -29,6 +29,11 @@ def p1_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sample(spark, sf_dir).report
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of address records that denote the same location."""
+    return addresses.expand(addresses.match_addresses(table(spark, sf_dir, "person_addresses")))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of typed names that name the same person."""
     return names.expand(names.link_names(table(spark, sf_dir, "typed_names")))
@@ -59,4 +64,4 @@ def p7_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mix(spark, sf_dir).report
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_sample, p1_report, p5_found, p6_ids, p7_found, p7_mix, p7_report)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_sample, p1_report, p4_found, p5_found, p6_ids, p7_found, p7_mix, p7_report)}
