@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftlink.llm import addresses, mixing, names, sampling, tokens
+from weftlink.llm import addresses, entities, mixing, names, sampling, tokens
 from weftlink.llm.sql import ORACLES
 from weftlink.session import cut, table
 
@@ -29,6 +29,21 @@ def p1_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sample(spark, sf_dir).report
 
 
+def _matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = entities.match_entities(table(spark, sf_dir, "outside_records"), table(spark, sf_dir, "internal_records"), "outside_id", "internal_id", "source", "target")
+    return found.pairs.select(F.col("left").alias("outside_id"), F.col("right").alias("internal_id"), "confidence")
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outside and internal records of the same person."""
+    return _matches(spark, sf_dir).where(F.col("confidence") >= entities.SAME).select("outside_id", "internal_id")
+
+
+def p2_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate pair with its confidence."""
+    return _matches(spark, sf_dir)
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of address records that denote the same location."""
     return addresses.expand(addresses.match_addresses(table(spark, sf_dir, "person_addresses")))
@@ -64,4 +79,4 @@ def p7_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mix(spark, sf_dir).report
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_sample, p1_report, p4_found, p5_found, p6_ids, p7_found, p7_mix, p7_report)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_sample, p1_report, p2_found, p2_confidence, p4_found, p5_found, p6_ids, p7_found, p7_mix, p7_report)}
