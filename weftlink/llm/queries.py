@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftlink.llm import addresses, entities, mixing, names, sampling, tokens
+from weftlink.llm import abuse, addresses, entities, mixing, names, sampling, tokens
 from weftlink.llm.sql import ORACLES
 from weftlink.session import cut, table
 
@@ -79,4 +79,25 @@ def p7_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mix(spark, sf_dir).report
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_sample, p1_report, p2_found, p2_confidence, p4_found, p5_found, p6_ids, p7_found, p7_mix, p7_report)}
+def _scores(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return abuse.score_documents(docs, abuse.fit_labels(docs, table(spark, sf_dir, "content_labels")), keep)
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with abusive, hateful or sexual language."""
+    return _scores(spark, sf_dir).where("flagged").select("doc_id").distinct()
+
+
+def p8_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The score of every document."""
+    return _scores(spark, sf_dir)
+
+
+def p8_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the share of abusive ones per source."""
+    scored = _scores(spark, sf_dir, "source").withColumn("source", mixing.canonical_source(F.col("source")))
+    return scored.groupBy("source").agg(F.count("*").alias("n_docs"), F.count_if("flagged").alias("n_flagged"), F.avg(F.col("flagged").cast("double")).alias("rate"), F.avg("score").alias("mean_score"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_sample, p1_report, p2_found, p2_confidence, p4_found, p5_found, p6_ids, p7_found, p7_mix, p7_report, p8_found, p8_scores, p8_rates)}
