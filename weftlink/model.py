@@ -90,16 +90,21 @@ def keyed(df: DataFrame, person: str = "person", *keep: str) -> DataFrame:
     return df.select(*keep, *key_columns(F.col(person)))
 
 
+def _whole(c: Column, keep) -> Column:
+    """A value where a test of it holds, else null; the value is written once in the plan, however often the test reads it."""
+    return F.get(F.filter(F.array(c), keep), F.lit(0))
+
+
 def prune(c: Column, kind: T.DataType) -> Column:
     """Empty strings, arrays and structs as null, at every depth; expressions made from the type."""
     if isinstance(kind, T.StringType):
         return F.nullif(c, F.lit(""))
     if isinstance(kind, T.ArrayType):
         kept = F.filter(F.transform(c, lambda x: prune(x, kind.elementType)), lambda x: x.isNotNull())
-        return F.when(F.size(kept) > 0, kept)
+        return _whole(kept, lambda x: F.size(x) > 0)
     if isinstance(kind, T.StructType):
-        fields = [(prune(c[f.name], f.dataType), f.name) for f in kind]
-        return F.when(reduce_or([x.isNotNull() for x, _ in fields]), F.struct(*[x.alias(n) for x, n in fields]))
+        made = F.struct(*[prune(c[f.name], f.dataType).alias(f.name) for f in kind])
+        return _whole(made, lambda x: reduce_or([x[f.name].isNotNull() for f in kind]))
     return c
 
 

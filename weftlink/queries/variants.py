@@ -128,13 +128,6 @@ def mut_compound(spark: SparkSession, d: str) -> DataFrame:
     return mutate.compound(_text(spark, d)).select("pid", "given", "family", "dob", "mutations")
 
 
-@query()
-def drift_scenarios(spark: SparkSession, d: str) -> DataFrame:
-    base = as_person(persona(spark, d)).select("pid", "person")
-    made = drift.variants(base, base)
-    return made.select("pid", "scenario", "subtype", F.to_json("variant").alias("variant"))
-
-
 @query()
 def drift_yield(spark: SparkSession, d: str) -> DataFrame:
     base = as_person(persona(spark, d)).select("pid", "person")

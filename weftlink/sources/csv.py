@@ -32,7 +32,7 @@ def to_person(df: DataFrame) -> DataFrame:
     official = F.when(given.isNotNull() | text("LAST").isNotNull() | text("SUFFIX").isNotNull(), F.struct(F.lit("official").alias("use"), text("LAST").alias("family"), given.alias("given"), listed(text("SUFFIX")).alias("suffix"), null.alias("text")))
     alias = F.when(text("ALIAS").isNotNull(), F.struct(F.lit("nickname").alias("use"), null.alias("family"), none.alias("given"), none.alias("suffix"), text("ALIAS").alias("text")))
     cells = F.flatten(F.array(*[F.split(F.coalesce(text(c), F.lit("")), r"\^+") for c in ("PHONE", "PHONE2")]))
-    numbers = F.filter(F.transform(cells, F.trim), lambda x: x != "")
+    numbers = F.filter(F.transform(cells, lambda x: F.trim(x)), lambda x: x != "")
     phones = F.transform(numbers, lambda x, i: F.struct(F.lit("phone").alias("system"), x.alias("value"), (i + 1).alias("rank")))
     email = F.array_compact(F.array(F.when(text("EMAIL").isNotNull(), F.struct(F.lit("email").alias("system"), text("EMAIL").alias("value"), F.lit(1).alias("rank")))))
     telecom = F.concat(phones, email)
