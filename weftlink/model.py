@@ -126,7 +126,8 @@ def renumber(telecom: Column) -> Column:
 
 
 def export_ready(p: Column) -> Column:
-    return prune(p.withField("telecom", renumber(p["telecom"])), PERSON)
+    """Ranks renumbered and empty values dropped; a record of nothing but empty values stays a record."""
+    return F.coalesce(prune(p.withField("telecom", renumber(p["telecom"])), PERSON), p)
 
 
 def violations(p: Column) -> Column:
@@ -135,7 +136,7 @@ def violations(p: Column) -> Column:
     ranked = F.transform(F.filter(telecom, lambda t: t["rank"].isNotNull()), lambda t: F.concat_ws("#", t["system"], t["rank"].cast("string")))
     uses, systems = ("usual", "official", "temp", "nickname", "anonymous", "old", "maiden"), ("phone", "fax", "email", "pager", "url", "sms", "other")
     checks = [
-        (~p.eqNullSafe(prune(p, PERSON)), "empty value"),
+        (~p.eqNullSafe(F.coalesce(prune(p, PERSON), p)), "empty value"),
         (F.exists(names, lambda n: n["use"].isNotNull() & ~n["use"].isin(*uses)), "name use"),
         (F.exists(telecom, lambda t: t["system"].isNull() | ~t["system"].isin(*systems)), "telecom system"),
         (F.exists(telecom, lambda t: F.coalesce(t["value"], F.lit("")).contains("^")), "caret in telecom"),
