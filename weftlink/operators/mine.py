@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from weftlink.functions import guard as G
 from weftlink.functions import norm as N
 from weftlink.functions.guard import a, b, side
+from weftlink.session import cut
 
 
 def blocked(df: DataFrame, keys: list[str], keep: Column, order: str = "ord") -> DataFrame:
@@ -126,7 +127,8 @@ def near_misses(queries: DataFrame, records: DataFrame, cap: int = 10, seed: int
     r = search_keys(records).withColumnRenamed("id", "rid")
     met = q.join(r, "key").where("qid <> rid").select("qid", "rid").distinct()
     pairs = met.join(side(queries, "a"), F.col("qid") == a("id")).join(side(records, "b"), F.col("rid") == b("id")).drop("qid", "rid")
-    told = pairs.where(G.twins() | ~G.looks_same()).withColumn("kind", G.near_miss_kind()).where("kind is not null")
+    # written once: counted and ranked below
+    told = cut(pairs.where(G.twins() | ~G.looks_same()).withColumn("kind", G.near_miss_kind()).where("kind is not null"))
     seen = told.groupBy(a("id").alias("sid"), F.col("kind").alias("skind")).agg(F.count("*").alias("seen"))
     slot = Window.partitionBy("a_id", "kind").orderBy(N.digest(seed, "near_miss", a("id"), b("id")), b("id"))
     kept = told.withColumn("rank", F.row_number().over(slot)).where(F.col("rank") <= cap)

@@ -13,6 +13,7 @@ from weftlink.functions.guard import a, b
 from weftlink.model import key_columns
 from weftlink.operators import drift, mine, mutate
 from weftlink.plans.persona import as_person, people
+from weftlink.session import cut
 
 
 def positives(flat: DataFrame, seed: int = 0, profile: drift.Profile = drift.Profile()) -> DataFrame:
@@ -48,7 +49,7 @@ def keyed_positives(made: DataFrame) -> DataFrame:
 
 def negatives(flat: DataFrame, seed: int = 0, cap: int = 3, step: int = 10) -> DataFrame:
     """(source_id, target_id, pair_type, subtype) of mined pairs of different people; the first kind of a pair counts."""
-    k = people(flat)
+    k = cut(people(flat))  # the keys are read by every miner
     ids = lambda df: df.select(a("id").alias("source_id"), b("id").alias("target_id"))
     mined = {
         "hard_negative": ids(mine.shared_birth_and_zip(k)),

@@ -10,6 +10,7 @@ from weftlink.functions import norm as N
 from weftlink.functions.guard import a, b
 from weftlink.operators import drift, mine
 from weftlink.plans.persona import people
+from weftlink.session import cut
 
 
 def pools(flat_dup: DataFrame, size: int = 40, seed: int = 0, profile: drift.Profile = drift.Profile(), step: int = 10) -> DataFrame:
@@ -18,7 +19,7 @@ def pools(flat_dup: DataFrame, size: int = 40, seed: int = 0, profile: drift.Pro
 
     Strangers: everybody's hash falls into one of many slices, a query reads the few slices after its own hash until its pool is
     surely full. No query meets the whole table. Whoever could be the query is left out by an anti join."""
-    k = people(flat_dup)
+    k = cut(people(flat_dup))  # the keys are read by every join below
     old, new = k.where("id < 10000000"), k.where("id >= 10000000")
     queries = old.where(F.col("id") % step == 0)
     matches = mine.same_person_ids(queries, new).unionByName(mine.duplicate_ids(queries, new)).distinct().select(F.col("probe_id").alias("query_id"), F.col("id").alias("candidate_id"))
