@@ -42,9 +42,9 @@ def pools(flat_dup: DataFrame, size: int = 40, seed: int = 0, profile: drift.Pro
     # the first way in which somebody came in counts
     once = every.groupBy("query_id", "candidate_id").agg(F.min(F.struct("prio", "category", "is_match")).alias("m")).select("query_id", "candidate_id", "m.*")
     order = Window.partitionBy("query_id").orderBy("prio", N.digest(seed, "fill", F.col("query_id"), F.col("candidate_id")), "candidate_id")
-    cut = once.withColumn("_r", F.row_number().over(order)).where(F.col("is_match") | (F.col("_r") <= size))
+    trimmed = once.withColumn("_r", F.row_number().over(order)).where(F.col("is_match") | (F.col("_r") <= size))
     shuffled = Window.partitionBy("query_id").orderBy(N.digest(seed, "place", F.col("query_id"), F.col("candidate_id")), "candidate_id")
-    placed = cut.withColumn("place", F.row_number().over(shuffled)).drop("_r", "prio")
+    placed = trimmed.withColumn("place", F.row_number().over(shuffled)).drop("_r", "prio")
     said = placed.where("category not in ('match', 'stranger')").groupBy("query_id").agg(F.array_join(F.array_sort(F.collect_set("category")), "+").alias("_c"))
     return placed.join(said, "query_id", "left").withColumn("rationale", F.concat(F.lit("population"), F.when(F.col("_c").isNotNull(), F.concat(F.lit("/"), "_c")).otherwise(""))).drop("_c")
 
