@@ -105,6 +105,14 @@ def test_names(spark):
     assert strings.given_alike("bob", "robert") == 1.0 and strings.given_alike("nell", "penelope") == 1.0 and strings.given_alike("greta", "ilse") == 0.0
 
 
+def test_an_initial_in_the_family_field(spark):
+    assert strings.name_parts("I", ["Neigulvova"], None) == strings.name_parts("Neigulvova", ["I."], None) == (["neigulvova"], ["i"])
+    assert strings.name_parts("I.", ["Garcia-Lopez", "Ann"], None) == (["garcia", "lopez"], ["i", "ann"]) and strings.name_parts("X", ["Unknown"], None) == ([], [])
+    rows = [(1, 0, "I", ["Neigulvova"], None, None, 1969), (2, 0, "Neigulvova", ["Ilse"], None, None, 1969), (3, 0, "I", ["Neigulvova"], None, None, 1969), (4, 0, "i.", ["NEIGULVOAV"], None, None, 1969), (5, 0, "G", ["Neigulvova"], None, None, 1969), (6, 0, "I", ["Neigulvova"], None, None, 1970)]
+    df = spark.createDataFrame(rows, "name_id long, shard int, family string, given array<string>, suffix array<string>, text string, birth_year int")
+    assert {tuple(r) for r in names.expand(names.link_names(df)).collect()} == {(1, 2), (1, 3), (2, 3), (1, 4), (2, 4), (3, 4)}
+
+
 def test_close_vectors_share_a_place():
     rng = random.Random(4)
     for _ in range(300):

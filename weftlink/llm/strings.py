@@ -107,6 +107,9 @@ def name_parts(family: str | None, given: list[str] | None, text: str | None) ->
             if words(family, True) == [] and len(found) > 1:  # a suffix stands last
                 family, given = found[-1], [" ".join(found[:-1])]
     f, g = words(family, True), words(" ".join(given), False)
+    initials = [] if f else words(family, False)
+    if initials and (named := words(given[0] if given else None, True)):  # the initial stands in the family's field, the family in the given one's
+        f, g = named, initials + words(" ".join(given[1:]), False)
     if all(w in NO_NAME for w in f + g) or any(w in ("unknown", "unk", "test", "doe", "baby") for w in f):
         return [], []
     return f, [w for w in g if w not in NO_NAME]
