@@ -11,7 +11,8 @@ from weftlink.model import keyed, violations
 from weftlink.operators import evaluate, mine, sample
 from weftlink.operators.neighbours import sorted_pairs
 from weftlink.operators.prefix import hash_key, running_sum
-from weftlink.plans.persona import as_person
+from weftlink.plans.pairs import COLLISION_FIELDS, INSTITUTIONS, negatives
+from weftlink.plans.persona import as_person, people
 from weftlink.sources import csv, jsonl
 
 
@@ -111,6 +112,20 @@ def test_near_misses(spark):
     assert mine.near_misses(k.limit(0), k).count() == 0
 
 
+def test_negatives_of_all_people_and_generators(spark):
+    from datetime import date
+
+    more = [(11 + i, f"P{c * 4}", c * 6, date(1930 + i, 2, 3), "male", f"2000{i}", f"{i} OAK ST", None, None, None) for i, c in enumerate("ABCDEFG")] + [(21, "OTTO", "JONES", date(1950, 1, 5), "male", "10001", "8 MAIN ST", None, None, None)]
+    flat = population(spark).unionByName(spark.createDataFrame(more, PEOPLE))  # no id is divisible by ten
+    k = people(flat)
+    rows = negatives(flat).collect()
+    assert {frozenset((r.source_id, r.target_id)) for r in rows} >= {frozenset(p) for p in pairs(mine.near_misses(k, k, 3))}
+    assert {(r.source_id, r.target_id) for r in rows if r.pair_type == "twin_like_negative"} == {(1, 2)}
+    assert {(r.source_id, r.target_id) for r in rows if r.subtype == "multi_generational_household"} == {(int(r.elder), int(r.younger)) for r in mine.constructed_households(k).collect()} != set()
+    assert {r.subtype for r in rows if r.pair_type == "special_population"} == {"multi_generational_household", *INSTITUTIONS}
+    assert {r.subtype for r in rows if r.pair_type == "placeholder_collision_negative"} == set(COLLISION_FIELDS)
+
+
 def test_quotas_and_samples(spark):
     assert sample.quotas(2000, sample.TARGETS) == {"0-17": 430, "18-64": 1224, "65-84": 307, "85+": 39}
     with pytest.raises(ValueError):

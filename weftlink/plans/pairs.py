@@ -47,8 +47,26 @@ def keyed_positives(made: DataFrame) -> DataFrame:
     return both.select("pid", "pair_type", "subtype", *[F.col(f"_a.{n}").alias(f"a_{n}") for n in names], *[F.col(f"_b.{n}").alias(f"b_{n}") for n in names])
 
 
-def negatives(flat: DataFrame, seed: int = 0, cap: int = 3, step: int = 10) -> DataFrame:
-    """(source_id, target_id, pair_type, subtype) of mined pairs of different people; the first kind of a pair counts."""
+#: Fields that get a dummy value in common, institutions that people are put into, people of an institution.
+COLLISION_FIELDS = ("ssn", "phone", "dob")
+INSTITUTIONS = ("shelter", "nursing_facility", "correctional_institution", "hotel_short_term_housing", "halfway_house", "dormitory", "group_home", "migrant_camp")
+GROUP = 3
+
+
+def constructed(k: DataFrame, seed: int = 0) -> DataFrame:
+    """(source_id, target_id, pair_type, subtype) of pairs of different people whose records are to be changed: an address of an elder,
+    dummy values in common, institutions. A pair may be in several kinds, as its records differ in each."""
+    kind = k.schema["id"].dataType
+    told = lambda df, x, y, t, s: df.select(x.cast(kind).alias("source_id"), y.cast(kind).alias("target_id"), F.lit(t).alias("pair_type"), F.lit(s).alias("subtype"))
+    parts = [told(mine.constructed_households(k, seed=seed), F.col("elder"), F.col("younger"), "special_population", "multi_generational_household")]
+    parts += [told(mine.placeholder_collisions(k, f, seed=seed), a("id"), b("id"), "placeholder_collision_negative", f) for f in COLLISION_FIELDS]
+    parts += [told(mine.institution_group(k, i, GROUP, seed), F.col("query_id"), F.col("candidate_id"), "special_population", i) for i in INSTITUTIONS]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def negatives(flat: DataFrame, seed: int = 0, cap: int = 3) -> DataFrame:
+    """(source_id, target_id, pair_type, subtype) of pairs of different people: mined ones, where the first kind of a pair counts, and
+    constructed ones."""
     k = cut(people(flat))  # the keys are read by every miner
     ids = lambda df: df.select(a("id").alias("source_id"), b("id").alias("target_id"))
     mined = {
@@ -58,12 +76,13 @@ def negatives(flat: DataFrame, seed: int = 0, cap: int = 3, step: int = 10) -> D
         "sibling_negative": ids(mine.siblings(k)),
     }
     parts = [df.select("source_id", "target_id", F.lit(n).alias("pair_type"), F.lit("").alias("subtype"), F.lit(i).alias("prio")) for i, (n, df) in enumerate(mined.items())]
-    near = mine.near_misses(k.where(F.col("id") % step == 0), k, cap, seed)
+    near = mine.near_misses(k, k, cap, seed)
     names = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in G.PAIR_TYPES.items() for x in kv]), F.col("kind")), F.lit("near_miss_negative"))
     parts.append(near.select(a("id").alias("source_id"), b("id").alias("target_id"), names.alias("pair_type"), F.col("kind").alias("subtype"), F.lit(len(mined)).alias("prio")))
     together = reduce(DataFrame.unionByName, parts)
     pair = F.struct("prio", "source_id", "target_id", "pair_type", "subtype")
-    return together.groupBy(F.least("source_id", "target_id").alias("lo"), F.greatest("source_id", "target_id").alias("hi")).agg(F.min(pair).alias("p")).select("p.source_id", "p.target_id", "p.pair_type", "p.subtype")
+    once = together.groupBy(F.least("source_id", "target_id").alias("lo"), F.greatest("source_id", "target_id").alias("hi")).agg(F.min(pair).alias("p")).select("p.source_id", "p.target_id", "p.pair_type", "p.subtype")
+    return once.unionByName(constructed(k, seed))
 
 
 def pair_tier(flat: DataFrame, seed: int = 0, profile: drift.Profile = drift.Profile(), exclude: bool = True) -> DataFrame:
