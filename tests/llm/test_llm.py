@@ -94,6 +94,14 @@ def test_address_pairs_equal_brute_force(spark):
     assert addresses.expand(addresses.match_addresses(df.limit(0))).count() == 0
 
 
+def test_a_code_and_a_city_that_go_together(spark):
+    line = ["9595 E Sorrelholt Circle"]
+    rows = [(1, 0, line, "Roshaven", "NC", None), (2, 0, line, None, "NC", "27195-9206"), (3, 0, line, "Oakton", "NC", None), (4, 0, line, None, "SC", "27195")]
+    rows += [(10 + i, 1, [f"{i} Elm St"], "Roshaven", "NC", "27195") for i in (1, 2)] + [(13, 1, ["3 Elm St"], "Oakton", "NC", "27195")]  # one slip
+    df = spark.createDataFrame(rows, "address_id long, shard int, line array<string>, city string, state string, postalCode string")
+    assert {tuple(r) for r in addresses.expand(addresses.match_addresses(df)).collect()} == {(1, 2)}
+
+
 def test_names(spark):
     rows = [
         (1, 0, "Uleskiathoux", ["Eirlys"], None, None, 1936), (2, 0, "Eirlys", ["Uleskiathoux"], None, None, 1936), (3, 0, None, None, None, "ULESKAITHOUX, E.", 1936), (4, 0, "Uleskiathoux", ["Eirlys"], None, None, 1937),

@@ -206,7 +206,8 @@ def near(a: str, b: str) -> bool:
 
 
 def same_place(a: dict, b: dict) -> bool:
-    """Postal code, city and state of two addresses agree as far as both give them, and at least one agrees."""
+    """Postal code, city and state of two addresses agree as far as both give them, and at least one agrees; or one gives only a postal
+    code, the other only a city, and the city is one of those known for the code (``cities``)."""
     if a["state"] and b["state"] and a["state"] != b["state"]:
         return False
     cities = near(a["city"], b["city"]) if a["city"] and b["city"] else None
@@ -214,7 +215,10 @@ def same_place(a: dict, b: dict) -> bool:
         if a["zip"] == b["zip"]:
             return cities is not False
         return osa(a["zip"], b["zip"]) <= 1 and cities is not False
-    return bool(cities)
+    if cities is not None:
+        return cities
+    x, y = (a, b) if a["zip"] else (b, a)
+    return bool(x["zip"] and y["city"] and not x["city"]) and any(near(c, y["city"]) for c in (x.get("cities") or "").split())
 
 
 def same_location(a: dict, b: dict) -> float:
@@ -236,6 +240,14 @@ def same_location(a: dict, b: dict) -> float:
 FIELDS = ("kind", "number", "unit", "dir", "name", "type", "city", "state", "zip")
 
 
+def known_cities(rows: DataFrame) -> DataFrame:
+    """(zip, cities): the cities that records with both parts give for a postal code; those given once (slips of a code or a
+    city) count only where the code has no other."""
+    given = rows.where("zip <> '' and city <> ''").groupBy("zip", "city").agg(F.count("*").alias("n"))
+    most = given.groupBy("zip").agg(F.max("n").alias("most"))
+    return given.join(most, "zip").where("n > 1 or most = 1").groupBy("zip").agg(F.concat_ws(" ", F.collect_list("city")).alias("cities"))
+
+
 @dataclass
 class Locations:
     """``members`` (address_id, rep) and ``pairs`` (rep_a, rep_b, score) of representatives that denote one location."""
@@ -262,7 +274,8 @@ def match_addresses(df: DataFrame, window: int = WINDOW) -> Locations:
     rows = cut(rows.withColumn("rep", F.xxhash64("shard", *FIELDS)))
     reps = rows.select("rep", "shard", *FIELDS).distinct()
     uses = reps.groupBy("name").agg(F.count("*").alias("uses"))
-    reps = cut(reps.join(uses, "name"))
+    told_by_code = reps.where("zip <> '' and city = ''").select("rep", "zip").join(known_cities(rows), "zip").select("rep", "cities")
+    reps = cut(reps.join(uses, "name").join(told_by_code, "rep", "left").na.fill("", ["cities"]))
     col = lambda *names: [F.col(n) for n in names]
     orders = [
         col("shard", "number", "unit", "zip", "name", "rep"),
@@ -274,7 +287,7 @@ def match_addresses(df: DataFrame, window: int = WINDOW) -> Locations:
     met = reduce(DataFrame.unionByName, [sorted_pairs(reps, order, window, strict) for order in orders])
     met = met.select(F.when(F.col("a.rep") < F.col("b.rep"), F.struct("a", "b")).otherwise(F.struct(F.col("b").alias("a"), F.col("a").alias("b"))).alias("p")).select("p.a", "p.b")
     met = met.groupBy(F.col("a.rep").alias("rep_a"), F.col("b.rep").alias("rep_b")).agg(F.first("a").alias("a"), F.first("b").alias("b"))
-    told = ("uses", *FIELDS)
+    told = ("uses", "cities", *FIELDS)
     flat = met.select("rep_a", "rep_b", *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "ab" for c in told])
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
