@@ -57,10 +57,11 @@ def test_members_and_tables(spark):
 def test_broken_and_empty_payloads_have_no_nodes(spark):
     rows = [(1, None), (2, ""), (3, '{"name": [{"fam'), (4, "null"), (5, "[]"), (6, "{}"), (7, '{"name": [null, {}, " ", []]}'), (8, '"{\\"name\\": 1"')]
     df = spark.createDataFrame([(k, p, None, "") for k, p in rows], SCHEMA)
-    assert shred_records(df).count() == 0
+    assert shred_records(df).count() == 0 and shred_records(df.coalesce(1), values=False).count() == 0
     assert shred_records(df.limit(0)).count() == 0
+    assert [r.record_id for r in shred_records(spark.createDataFrame([(None, '{"name": [{"family": "A"}]}', None, "")], SCHEMA)).collect()] == [None]
 
 
 def test_a_key_counts_once(spark):
-    df = spark.createDataFrame([(1, "a", None, ""), (1, "a", None, ""), (None, "b", None, "")], SCHEMA)
-    assert sorted((r.record_id is None, r.payload) for r in latest(df, "record_id", "payload").collect()) == [(False, "a"), (True, "b")]
+    df = spark.createDataFrame([(1, "a", None, ""), (1, "a", None, ""), (None, "b", None, ""), (None, "b", None, ""), (None, "c", None, ""), (None, None, None, "")], SCHEMA)
+    assert sorted((r.record_id is None, r.payload or "") for r in latest(df, "record_id", "payload").collect()) == [(False, "a"), (True, ""), (True, "b"), (True, "c")]

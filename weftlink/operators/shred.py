@@ -210,6 +210,8 @@ def shred_records(df: DataFrame, record_id: str = "record_id", payload: str = "p
                 for who, person in enumerate(kept):
                     root.shred(who, person, 0, 0)
                 rows = list(rebuild(root, values))
+                if not rows:  # empty columns have no type that Arrow could cast
+                    continue
                 out = {"record_id": pd.array([people[w][0] for w, *_ in rows], dtype="Int64"), "patient_pos": np.array([people[w][1] for w, *_ in rows], dtype=np.int32)}
                 out |= {name: [r[i] for r in rows] for i, name in ((1, "node_path"), (2, "parent_path"), (3, "node_table"))}
                 if values:
@@ -220,6 +222,8 @@ def shred_records(df: DataFrame, record_id: str = "record_id", payload: str = "p
 
 
 def latest(df: DataFrame, key: str, *cols: str, order: str = "received_at") -> DataFrame:
-    """One row per key: the first delivery (equal times: the smallest content). Combined map-side; a null key is one group."""
+    """One row per key: the first delivery (equal times: the smallest content). Rows without a key are one row per content, as
+    nothing else says whether they are one record delivered twice."""
     picked = F.struct(F.col(order).isNull().alias("_n"), F.col(order).alias("_o"), *[F.col(c) for c in cols])
-    return spread(df.select(key, order, *cols), key).groupBy(key).agg(F.min(picked).alias("_p")).select(key, *[F.col(f"_p.{c}").alias(c) for c in cols])
+    keyed = df.select(key, order, *cols).withColumn("_content", F.when(F.col(key).isNull(), F.to_json(F.struct(*cols))))
+    return spread(keyed, key, "_content").groupBy(key, "_content").agg(F.min(picked).alias("_p")).select(key, *[F.col(f"_p.{c}").alias(c) for c in cols])

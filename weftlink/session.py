@@ -53,5 +53,14 @@ def tasks(spark: SparkSession) -> int:
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Deal the rows (or whole keys) out to ``tasks`` partitions that adaptive execution doesn't merge again: small bytes can
-    stand for much work where Python does it. A later aggregation on ``keys`` needs no further shuffle."""
-    return df.repartition(tasks(df.sparkSession), *keys)
+    stand for much work where Python does it. A later aggregation on ``keys`` needs no further shuffle. A single table that
+    fills that many file splits anyway isn't shuffled without keys, and with keys gets one partition per split size."""
+    n, plan = tasks(df.sparkSession), df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    if leaves.size() == 1 and leaves.apply(0).nodeName() == "LogicalRelation":  # elsewhere sizes are only guessed
+        size, split = int(str(plan.stats().sizeInBytes())), df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+        if size > n * split:
+            if not keys:
+                return df
+            n = -(-size // split)
+    return df.repartition(n, *keys)
