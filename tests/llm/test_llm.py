@@ -163,6 +163,24 @@ def test_abuse_model_on_held_out_documents(spark):
     assert abuse.score_documents(d, nothing).where("flagged").count() == 0
 
 
+def test_raters_that_err_are_outvoted():
+    yes, no = np.array([1.0, 0.0, 2.0, 1.0, 0.0]), np.array([0.0, 1.0, 0.0, 1.0, 0.0])
+    assert 0 < abuse.error_rate(yes, no) < 0.1 and abuse.error_rate(np.zeros(0), np.zeros(0)) > 0
+    p = abuse.chances(np.array([0.001, 0.999, 0.02, 0.3, 0.0]), yes, no, 0.03)
+    assert p[0] < 0.1 and p[1] > 0.9 and p[2] > 0.9 and p[3] == pytest.approx(0.3) and p[4] < 1e-5
+
+
+def test_wrong_ratings_do_not_make_harmless_words_abusive(spark):
+    rng = random.Random(6)
+    calm = ["the parcel came today", "please call me back", "my address has changed", "the form is long", "see you on monday"]
+    rude = ["you are a stupid fool", "shut up you idiot", "what a worthless idiot you are"]
+    docs = [(i, ". ".join([*rng.sample(calm, 3), *([rng.choice(rude)] if i % 4 == 0 else [])])) for i in range(800)]
+    labels = [(i, "a", int((i % 4 == 0) != (i % 25 == 7))) for i in range(400)]  # a rater in 25 errs
+    d, y = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, rater string, flagged int")
+    rows = abuse.score_documents(d, abuse.fit_labels(d, y)).where("doc_id >= 400").collect()
+    assert np.mean([r.flagged == (r.doc_id % 4 == 0) for r in rows]) > 0.98
+
+
 @pytest.mark.parametrize("text", ["b-i-t-t-e", "bi​tte", "BITTE", "bítte"])
 def test_disguises_are_undone(text):
     assert abuse.pieces(text) == [["bitte"]]

@@ -4,6 +4,10 @@ A text is cut into sentences and, where they are long, overlapping windows of wo
 pairs and letter n-grams of words, each hashed to a row of an embedding table; the mean of its rows goes through a linear softmax.
 Table and softmax are trained jointly in numpy. Labels belong to whole documents, so a document's score is a soft maximum over
 its pieces: one abusive sentence in a long harmless text is found, and misspelled or disguised words share n-grams with plain ones.
+
+Raters err. How often they do follows from documents that several of them rated. Each fold's model scores the labelled documents that
+it was not trained on; that score and the ratings together give the chance that a document is abusive, and the models are trained
+again on these chances. The folds are trained in tasks of their own; their mean is the model that scores the corpus.
 """
 
 from __future__ import annotations
@@ -19,22 +23,23 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftlink.session import spread
+from weftlink.session import cut, spread
 
 #: Rows and width of the embedding table.
 BUCKETS, WIDTH = 1 << 16, 8
 #: Words of a piece at most, and how far the next one begins.
 LONG, STEP = 18, 9
-#: Labelled documents that are trained on at most, taken by hash order, and characters of the longest of them. Every document is scored.
-TRAIN_DOCS, TRAIN_CHARS = 4000, 20_000
-#: Documents without a label that the later rounds take in: those up to the first share of their scores as harmless, those above the
-#: second share that also score high as abusive. What lies between stays out.
-EXTRA_DOCS, HARMLESS, ABUSIVE, HIGH, ROUNDS = 5000, 0.93, 0.97, 0.9, 2
-EPOCHS, RATE, DECAY, SHARP = 40, 0.03, 5e-4, 3.0
+#: Labelled documents that are trained on at most, taken by hash order. Every document is scored.
+TRAIN_DOCS = 4000
+#: Folds, and how often the chances are read again from the models of the other folds.
+FOLDS, ROUNDS = 4, 2
+#: Score from which a document is abusive: the softmax holds both classes equally likely.
+THRESHOLD = 0.5
+#: What is believed about raters before any two have rated one document: as if so many pairs of ratings held one disagreement.
+PRIOR_PAIRS = 20
+EPOCHS, RATE, DECAY, SHARP = 120, 0.03, 5e-4, 3.0
 #: Rows that are added to every mean as zeros, so that very short pieces aren't extreme.
 SHRINK = 40
-#: Bounds of the threshold: raters err, and the held-out fold is small.
-CUTS = (0.45, 0.65)
 #: What a word pair weighs, in rows.
 PAIR = 4
 
@@ -87,12 +92,15 @@ def pair_row(a: str, b: str) -> int:
 
 @dataclass
 class Model:
-    """Embedding table, weights and constant of the softmax, and the document score from which a text is abusive."""
+    """Embedding table, weights and constant of the softmax, the document score from which a text is abusive, how often raters
+    err, and the scores of the labelled documents by models that did not see them."""
 
     table: np.ndarray
     weights: np.ndarray
     constant: float
-    threshold: float = 0.5
+    threshold: float = THRESHOLD
+    error: float = 0.0
+    held_out: pd.DataFrame | None = None
 
     def scorer(self) -> Scorer:
         return Scorer(self)
@@ -181,14 +189,12 @@ class Bags:
         return out
 
 
-def train(bag: Bags, labels: np.ndarray, weight: np.ndarray, start: Model | None = None, seed: int = 0, epochs: int = EPOCHS) -> Model:
-    """Fit table and softmax together by gradient steps over all documents of positive weight; ``labels`` are shares of raters
-    between 0 and 1. ``start``: go on from a model."""
+def train(bag: Bags, labels: np.ndarray, weight: np.ndarray, seed: int = 0, epochs: int = EPOCHS) -> Model:
+    """Fit table and softmax together by gradient steps over all documents of positive weight; ``labels`` are chances between 0
+    and 1."""
     rng = np.random.default_rng(seed)
     table = (rng.standard_normal((BUCKETS, WIDTH)) * 0.1).astype(np.float32)
     weights, constant = (rng.standard_normal(WIDTH) * 0.1).astype(np.float32), np.float32(-2.0)
-    if start is not None:
-        table, weights, constant = start.table.copy(), start.weights.copy(), np.float32(start.constant)
     if not len(bag.starts):
         return Model(table, weights, -20.0)
     docs = bag.owner[bag.heads]
@@ -222,55 +228,62 @@ def train(bag: Bags, labels: np.ndarray, weight: np.ndarray, start: Model | None
     return Model(table, weights, float(constant))
 
 
-def fit(texts: list[str], labels: np.ndarray, fold: np.ndarray, extra: list[str]) -> Model:
-    """Train on three of four folds, take in the unlabelled documents of which that model is sure, train again, and set the threshold
-    on the fold that no round saw; the final model is trained in the same way on all labelled documents."""
-    bag = Bags(texts + extra)
-    n = len(texts)
-
-    def rounds(keep: np.ndarray) -> Model:
-        y = np.r_[labels, np.zeros(len(extra))]
-        weight = np.r_[keep.astype(float), np.zeros(len(extra))]
-        model = train(bag, y, weight)
-        for _ in range(ROUNDS if len(extra) else 0):
-            guess = bag.scores(model)[n:]
-            low, high = np.quantile(guess, (HARMLESS, ABUSIVE))
-            y[n:] = guess > max(high, HIGH)
-            weight[n:] = 0.5 * ((guess <= low) | (y[n:] > 0))
-            model = train(bag, y, weight)
-        return model
-
-    seen = fold != 0
-    model = rounds(np.ones(n, dtype=bool))
-    held = labels[~seen]
-    if (held > 0.5).sum() >= 5:
-        model.threshold = float(np.clip(best_threshold(bag.scores(rounds(seen))[:n][~seen], held), *CUTS))
-    return model
+def error_rate(yes: np.ndarray, no: np.ndarray) -> float:
+    """How often a rater errs, from the share of documents with several raters on which they disagree."""
+    several = yes + no > 1
+    return float((1 + (several & (yes > 0) & (no > 0)).sum()) / (2 * (PRIOR_PAIRS + several.sum())))
 
 
-def best_threshold(scores: np.ndarray, y: np.ndarray) -> float:
-    """The cut with the best F1 on held-out documents."""
-    order = np.argsort(-scores)
-    hits = np.cumsum(y[order] > 0.5)
-    f1 = 2 * hits / (np.arange(1, len(y) + 1) + max((y > 0.5).sum(), 1))
-    k = int(np.argmax(f1))
-    after = scores[order[k + 1]] if k + 1 < len(y) else 0.0
-    return float((scores[order[k]] + after) / 2)
+def chances(score: np.ndarray, yes: np.ndarray, no: np.ndarray, error: float) -> np.ndarray:
+    """The chance that a document is abusive, given a score that owes nothing to its own ratings, and the ratings."""
+    p = np.clip(score, 1e-6, 1 - 1e-6)
+    return 1 / (1 + np.exp(-np.clip(np.log(p / (1 - p)) + (yes - no) * np.log((1 - error) / error), -30, 30)))
+
+
+def _train_folds(sample: DataFrame, chance: dict[int, float]) -> tuple[Model, pd.DataFrame]:
+    """Train each fold's model on the documents of the other folds, each in a task of its own; gives the mean of the models, as one
+    number per row of the table, and (doc_id, score) of each document by its own fold's model. ``chance`` holds one number for
+    each of the at most ``TRAIN_DOCS`` documents."""
+    shared = sample.sparkSession.sparkContext.broadcast(chance)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = [p for p in batches if len(p)]
+        if not parts:
+            return
+        docs = pd.concat(parts).sort_values(["h", "doc_id"])
+        mine, bag = int(docs["_task"].iloc[0]), Bags(docs["text"].tolist())
+        y, own = docs["doc_id"].map(shared.value).to_numpy(dtype=float), docs["fold"].to_numpy() == mine
+        model = train(bag, y, (~own).astype(float), seed=mine)
+        yield pd.DataFrame({"doc_id": [*docs["doc_id"][own], -1], "score": [*bag.scores(model)[own], model.constant], "row": [*[None] * own.sum(), (model.table @ model.weights).astype(np.float32)]})
+
+    copies = sample.withColumn("_task", F.explode(F.array(*[F.lit(k) for k in range(FOLDS)]))).repartitionById(FOLDS, F.col("_task"))
+    out = copies.mapInPandas(run, "doc_id long, score double, row array<float>").toPandas()
+    fitted = out["row"].notna()
+    value = np.mean(np.stack(out["row"][fitted].to_list()), axis=0)
+    return Model(value[:, None].astype(np.float32), np.ones(1, np.float32), float(out["score"][fitted].mean())), out.loc[~fitted, ["doc_id", "score"]]
 
 
 def fit_labels(documents: DataFrame, labels: DataFrame) -> Model:
-    """A model from rated documents. Null ratings are no ratings, several of one document are averaged, ratings of unknown or blank
-    documents are left out; with no abusive or no harmless document the model scores everything 0."""
-    rated = labels.where("flagged is not null and doc_id is not null").groupBy("doc_id").agg(F.avg(F.col("flagged").cast("double")).alias("y"))
-    # bounded samples of rows, documented above; the unlabelled ones only widen what the model has seen
-    usable = documents.where("doc_id is not null").select("doc_id", "text").where(F.col("text").isNotNull() & (F.length("text") <= TRAIN_CHARS)).withColumn("h", F.xxhash64("doc_id"))
-    known = usable.join(rated, "doc_id").orderBy("h", "doc_id").limit(TRAIN_DOCS).toPandas().drop_duplicates("doc_id")
-    extra = usable.join(rated, "doc_id", "left_anti").orderBy("h", "doc_id").limit(EXTRA_DOCS).toPandas()
-    y = known["y"].to_numpy(dtype=float)
-    if not ((y > 0.5).any() and (y <= 0.5).any()):
-        return Model(np.zeros((BUCKETS, WIDTH), np.float32), np.zeros(WIDTH, np.float32), -20.0)
-    fold = (known["h"].to_numpy(dtype=np.int64) >> 7) % 4
-    return fit(known["text"].tolist(), y, fold, extra["text"].tolist())
+    """A model from rated documents. Null ratings are no ratings, what one rater says of a document twice counts once (as its
+    mean), ratings of unknown or blank documents are left out; with no abusive or no harmless document the model scores everything 0."""
+    rater = F.col("rater") if "rater" in labels.columns else F.lit(None)
+    once = labels.where("flagged is not null and doc_id is not null").groupBy("doc_id", rater.alias("rater")).agg(F.avg(F.col("flagged").cast("double")).alias("y"))
+    rated = once.groupBy("doc_id").agg(F.sum("y").alias("yes"), F.sum(F.lit(1.0) - F.col("y")).alias("no"))
+    texts = documents.where("doc_id is not null").select("doc_id", "text").where(F.length(F.trim("text")) > 0).join(rated, "doc_id").dropDuplicates(["doc_id"])
+    # the bounded sample of labelled rows; their texts stay on the executors
+    sample = cut(texts.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(TRAIN_DOCS).withColumn("fold", F.pmod(F.shiftright("h", 7), F.lit(FOLDS)).cast("int")))
+    known = sample.select("doc_id", "yes", "no").toPandas()
+    yes, no = known["yes"].to_numpy(dtype=float), known["no"].to_numpy(dtype=float)
+    if not ((yes > no).any() and (yes < no).any()):
+        return Model(np.zeros((BUCKETS, 1), np.float32), np.zeros(1, np.float32), -20.0)
+    error, chance = error_rate(yes, no), yes / (yes + no)
+    for _ in range(ROUNDS + 1):
+        model, held = _train_folds(sample, dict(zip(known["doc_id"].tolist(), chance.tolist())))
+        known = known.drop(columns="score", errors="ignore").merge(held, on="doc_id")
+        yes, no = known["yes"].to_numpy(dtype=float), known["no"].to_numpy(dtype=float)
+        chance = chances(known["score"].to_numpy(), yes, no, error)
+    model.error, model.held_out = error, known
+    return model
 
 
 def score_documents(documents: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataFrame:
