@@ -121,6 +121,54 @@ def test_an_initial_in_the_family_field(spark):
     assert {tuple(r) for r in names.expand(names.link_names(df)).collect()} == {(1, 2), (1, 3), (2, 3), (1, 4), (2, 4), (3, 4)}
 
 
+def test_similar_words_share_a_gram():
+    rng = random.Random(7)
+    pick = lambda: rng.choice("abcdé")
+
+    def slip(w):
+        i, kind = rng.randrange(len(w)), rng.randrange(4)
+        return w[:i] + (pick() + w[i:], w[i + 1 :] or "a", pick() + w[i + 1 :], w[i + 1 : i + 2] + w[i] + w[i + 2 :])[kind]
+
+    met = 0
+    for _ in range(30_000):
+        u = v = "".join(pick() for _ in range(rng.randrange(1, 17)))
+        for _ in range(rng.randrange(4)):
+            v = slip(v)
+        if strings.alike(u, v):
+            a, b = sorted((u, v), key=len)
+            met += 1
+            assert names.short_grams(a) & names.long_grams(b), (a, b)
+    assert met > 20_000
+
+
+def test_name_pairs_equal_brute_force(spark):
+    rng = random.Random(8)
+    families, givens = ["Ng", "Li", "Wu", "Ho", "Vo", "Nguyen", "Uleskiathoux", "Иванов", "Garcia-Lopez", "Brudyskides"], ["Katherine", "Kate", "K", "Katherin", "Bob", "Robert Lee", "Lee Robert", "Анна"]
+    slip = lambda w: w if rng.random() < 0.5 or len(w) < 3 else (lambda i: w[:i] + w[i + 1] + w[i] + w[i + 2 :] if i + 1 < len(w) else w[:-1])(rng.randrange(len(w)))
+    rows = [(i, rng.choice([0, 1, None]), slip(rng.choice(families)), [slip(rng.choice(givens))], None, None, rng.choice([1980, 1981])) for i in range(250)]
+    rows += [(1000 + i, 0, slip(rng.choice(givens)), [slip(rng.choice(families))], None, None, 1980) for i in range(30)] + [(2000, 0, None, ["Nguyen Bob"], None, None, 1980), (2001, 0, "Nguyen", ["Bob"], None, None, 1980)]
+    df = spark.createDataFrame(rows, "name_id long, shard int, family string, given array<string>, suffix array<string>, text string, birth_year int")
+    links = names.link_names(df)
+    got = {(min(r.rep_a, r.rep_b), max(r.rep_a, r.rep_b)) for r in links.pairs.collect()}
+    parts = {i: strings.name_parts(f, g, t) for i, _, f, g, _, t, _ in rows}
+    rep = {r.name_id: r.rep for r in links.members.collect()}
+    forms = {rep[r[0]]: (r[1], r[6], *parts[r[0]]) for r in rows if rep[r[0]] == r[0]}
+    count = {}
+    for _, _, f, g in forms.values():
+        for w in f + g:
+            count[w] = count.get(w, 0) + 1
+    rarity = {w: np.log(1 + 1e6 / (n + 1)) for w, n in count.items()}
+    want = {(a, b) for a in forms for b in forms if a < b and forms[a][:2] == forms[b][:2] and names.agreement((*forms[a][2:], "", rarity), (*forms[b][2:], "", rarity)) >= names.SAME}
+    assert got == want and len(want) > 100 and (2000, 2001) in want
+
+
+def test_no_name_and_null_blocks(spark):
+    rows = [(1, 5, "A Unknown", None, None, None, None), (2, None, None, None, None, " ", 5), (3, 5, "Ivanovsky", ["Anna"], None, None, None), (4, None, "Ivanovsky", ["Anna"], None, None, 5), (5, None, "Ivanovsky", ["Anna"], None, None, 5)]
+    df = spark.createDataFrame(rows, "name_id long, shard int, family string, given array<string>, suffix array<string>, text string, birth_year int")
+    assert {tuple(r) for r in names.expand(names.link_names(df)).collect()} == {(4, 5)}
+    assert names.expand(names.link_names(df.where("name_id < 3"))).count() == 0
+
+
 def test_close_vectors_share_a_place():
     rng = random.Random(4)
     for _ in range(300):

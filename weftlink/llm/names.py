@@ -1,70 +1,79 @@
 """Variant spellings of typed names (problem 5).
 
-Words of a name are sets of q-grams. Two words within the similarity bound must share one of the rarest grams of each (the prefix
-filter), so a join on those grams within a block finds all of them; a block is a shard and a birth year, rows without a usable year
-are joined to every year. Candidates are verified by a soft weighted similarity: each word is aligned to its most similar word, rare
-words count more, and family name, given names and suffix may not contradict each other. Equal forms are one representative
+Words of a name are sets of q-grams with at most one gap, taken at the word's two ends; the grams at the ends are the prefix of the
+set-similarity join. Words within the slips that ``alike`` allows share at least one of them, as one of their ends holds one
+slip at most (``short_grams``), so the join finds every similar pair. It runs over the distinct words of a block: a block is a
+shard and a birth year, words of rows without a usable year meet all words of their shard. Rows are candidates if a family word is
+similar and given names can agree. They are verified by a soft weighted similarity: each word is aligned to its most similar word,
+rare words count more, and family name, given names and suffix may not contradict each other. Equal forms are one representative
 throughout; pairs are written out for members only at the end.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
-import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftlink.llm.strings import FORMAL, alike, given_alike, name_parts, suffix_of
+from weftlink.llm.strings import FORMAL, alike, given_alike, name_parts, slips, suffix_of
 from weftlink.session import cut, spread
 
-#: Share of common grams (Jaccard) that two words need at least to become candidates.
-SIMILAR = 1 / 3
 #: Weighted similarity from which two names are the same.
 SAME = 0.72
 #: Birth years that stand for "not known".
 STOCK_YEARS = (1900, 1901, 9999)
 
 
-def grams(word: str) -> list[str]:
-    """The distinct letter triples of a word with its ends marked."""
-    marked = f"^{word}$"
-    return sorted({marked[i : i + 3] for i in range(len(marked) - 2)})
+#: Stands for a missing shard or year in keys.
+NONE = -(1 << 31)
 
 
-def prefix(word: str, count: dict[str, int]) -> list[str]:
-    """The rarest grams, of which similar words share at least one."""
-    own = sorted(grams(word), key=lambda g: (count.get(g, 0), g))
-    return own[: len(own) - math.ceil(SIMILAR * len(own)) + 1]
+def _end(n: int) -> int:
+    """Letters of each end of a word of n letters that are looked at; 0: the whole word. Both ends of two similar words hold so many
+    letters apart that one slip can't touch both (six letters: that two slips can't spoil both)."""
+    return 0 if n < 6 else 3 if n == 6 else (n - 1) // 2
 
 
-def front(word: str) -> int:
-    """One bit for each of the first two letters of a word and of the formal names that it can stand for: after one slip at its front a
-    word still shares a bit with itself."""
-    out = 0
-    for form in {word, *FORMAL.get(word, ())}:
-        for c in form[:2]:
-            out |= 1 << (ord(c) % 31)
+def _without(word: str, gaps: int) -> set[str]:
+    """A word and what is left of it without up to so many of its letters."""
+    out = now = {word}
+    for _ in range(gaps):
+        now = {x[:i] + x[i + 1 :] for x in now for i in range(len(x))}
+        out = out | now
     return out
 
 
-def forms_of(found: list[str]) -> str:
-    """The words and all formal names that they can stand for."""
-    return " ".join(sorted({x for w in found for x in (w, *FORMAL.get(w, ()))}))
+def _ends(word: str, k: int) -> set[str]:
+    """The grams of k - 1 letters that the first and the last k letters leave with one gap."""
+    return {f"{k}{side}{end[:i]}{end[i + 1 :]}" for side, end in (("<", word[:k]), (">", word[-k:])) for i in range(k)}
+
 
+@lru_cache(1 << 17)
+def short_grams(word: str) -> frozenset[str]:
+    """The grams of a word that meet ``long_grams`` of every similar word that isn't shorter."""
+    n = len(word)
+    return frozenset(_ends(word, _end(n)) if n > 5 else {f"0{x}" for x in _without(word, 1 if n > 2 else 0)})
 
-def fronts(fam: str, giv: str) -> int:
-    """The bits of the first two given words (low half) and of all family words (high half)."""
-    low = high = 0
-    for w in giv.split()[:2]:
-        low |= front(w)
-    for w in fam.split():
-        high |= front(w)
-    return low | high << 31
+
+@lru_cache(1 << 17)
+def long_grams(word: str) -> frozenset[str]:
+    """The grams of a word that meet ``short_grams`` of every similar word that isn't longer: a partner of n letters brings those
+    of its own ends."""
+    n = len(word)
+    out = {f"0{x}" for x in _without(word, 2 if n > 5 else 1 if n > 2 else 0) if len(x) < 6} if n < 8 else set()
+    for k in {_end(m) for m in range(max(6, n - slips(n)), n + 1)}:
+        out |= _ends(word, k)
+    return frozenset(out)
+
+
+def forms_of(found: list[str]) -> list[str]:
+    """The words and all formal names that they can stand for."""
+    return sorted({x for w in found for x in (w, *FORMAL.get(w, ()))})
 
 
 def agreement(a: tuple, b: tuple) -> float:
@@ -120,73 +129,90 @@ class Links:
     pairs: DataFrame
 
 
+def similar_words(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(shard, year, wa, ta, wb, tb): words of ``a`` with the words of ``b`` (shard, year, w, t) in the same block that are within
+    their slips of each other or nearly so, wb being no shorter. ``t`` says whether the word is read as a given name; two words so
+    read don't meet. Every pair with ``alike`` above 0 is found."""
+
+    def keys(grams, left: bool):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                out = []
+                for shard, year, w, t in zip(pdf["shard"], pdf["year"], pdf["w"], pdf["t"]):
+                    roles = ("gf" if left else "fg",) if t else (("ff", "fg") if left else ("ff", "gf"))
+                    out += [(xxhash.xxh64_intdigest(f"{shard}|{year}|{r}{g}") - 2**63, shard, year, w, t) for r in roles for g in grams(w)]
+                if out:
+                    yield pd.DataFrame(out, columns=["key", "shard", "year", "w", "t"])
+
+        return run
+
+    emit = lambda df, grams, left, s: spread(df).mapInPandas(keys(grams, left), "key long, shard int, year int, w string, t boolean").select("key", *[F.col(c).alias(f"{c}{s}") for c in ("shard", "year", "w", "t")])
+    met = emit(a, short_grams, True, "a").join(emit(b, long_grams, False, "b"), "key").where("sharda = shardb and yeara = yearb and length(wa) <= length(wb)")
+    n = F.length("wb")
+    slack = F.when(n < 3, 0).when(n < 6, 1).when(n < 10, 2).otherwise(3)
+    met = met.where((n - F.length("wa") <= slack) & (F.levenshtein("wa", "wb") <= 2 * slack))  # an exchange of neighbours is two plain edits
+    return met.select(F.col("sharda").alias("shard"), F.col("yeara").alias("year"), "wa", "ta", "wb", "tb").distinct()
+
+
 def link_names(df: DataFrame) -> Links:
     """Link rows (name_id, shard, family, given, suffix, text, birth_year) that name the same person.
 
     Null ids, absent, unknown and test names link to nothing; repeated rows of an id count once; a null shard is a shard of its own; a
     null or stock birth year agrees with any year, but only if all namesakes of the row in its shard are of one year. An empty
     table gives empty results."""
-    schema = "name_id long, shard int, year int, fam string, giv string, suffix string, galt string, falt string"
+    schema = "name_id long, shard int, year int, fam string, giv string, suffix string"
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             parts = [name_parts(f, g, t) for f, g, t in zip(pdf["family"], pdf["given"], pdf["text"])]
             suffix = [suffix_of(f, t, *(g if g is not None else []), *(s if s is not None else [])) for f, t, g, s in zip(pdf["family"], pdf["text"], pdf["given"], pdf["suffix"])]
-            year = pdf["birth_year"].where(~pdf["birth_year"].isin(STOCK_YEARS)).astype("Int32")
-            yield pd.DataFrame({"name_id": pdf["name_id"], "shard": pdf["shard"].astype("Int32"), "year": year, "fam": [" ".join(f) for f, _ in parts], "giv": [" ".join(g) for _, g in parts], "suffix": suffix, "galt": [forms_of(g[:2]) for _, g in parts], "falt": [forms_of(f) for f, _ in parts]})
+            yield pd.DataFrame({"name_id": pdf["name_id"], "shard": pdf["shard"], "year": pdf["birth_year"].mask(pdf["birth_year"].isin(STOCK_YEARS), NONE), "fam": [" ".join(f) for f, _ in parts], "giv": [" ".join(g) for _, g in parts], "suffix": suffix})
 
-    rows = spread(df.where("name_id is not null").select("name_id", "shard", "family", "given", "suffix", "text", F.col("birth_year").cast("int").alias("birth_year"))).mapInPandas(read, schema).where("fam <> '' or giv <> ''")
-    rows = rows.groupBy("name_id").agg(F.min(F.struct("shard", "year", "fam", "giv", "suffix", "galt", "falt")).alias("r")).select("name_id", "r.*")
+    raw = df.where("name_id is not null").select("name_id", F.coalesce(F.col("shard").cast("int"), F.lit(NONE)).alias("shard"), "family", "given", "suffix", "text", F.coalesce(F.col("birth_year").cast("int"), F.lit(NONE)).alias("birth_year"))
+    rows = spread(raw).mapInPandas(read, schema).where("fam <> '' or giv <> ''")
     form = ("shard", "year", "fam", "giv", "suffix")
-    rows = cut(rows.withColumn("rep", F.xxhash64(*form)))
-    reps = rows.select("rep", *form, "galt", "falt").distinct()
-    words = reps.select("rep", F.explode(F.split(F.concat_ws(" ", F.nullif("fam", F.lit("")), F.nullif("giv", F.lit(""))), " ")).alias("w"))
+    rows = cut(rows.groupBy("name_id").agg(F.min(F.struct(*form)).alias("r")).select("name_id", "r.*"))
+    forms = rows.groupBy(*form).agg(F.min("name_id").alias("rep"))
+    members = rows.join(forms, list(form)).select("name_id", "rep", "fam", "giv")
+
+    words = forms.select("rep", F.explode(F.split(F.concat_ws(" ", F.nullif("fam", F.lit("")), F.nullif("giv", F.lit(""))), " ")).alias("w"))
     common = words.groupBy("w").agg(F.count("*").alias("n"))
     rarity = F.log(F.lit(1.0) + F.lit(1e6) / (F.col("n") + F.lit(1)))  # falls with the count; the scale cancels within a name
     weighted = words.join(common, "w").groupBy("rep").agg(F.collect_list(F.struct("w", rarity.alias("v"))).alias("ws"))
-    reps = cut(reps.join(weighted, "rep"))
-    # at most one row for every three characters of a folded word: a table bounded by its alphabet of 38 signs
-    counted = reps.select(F.explode(F.split(F.concat_ws(" ", "fam", "giv"), " ")).alias("w")).select(F.concat(F.lit("^"), "w", F.lit("$")).alias("w")).select(F.explode(F.expr("transform(sequence(1, length(w) - 2), i -> substring(w, i, 3))")).alias("g")).groupBy("g").count()
-    count = {r["g"]: r["count"] for r in counted.collect()}
-
-    def keys(dated: bool, left: bool):
-        """Keys of family words and of given words. Family words meet family words and, as names are typed into the wrong
-        fields, given words; two given words never make a candidate."""
-
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                out = []
-                for rep, shard, year, fam, giv in zip(pdf["rep"], pdf["shard"], pdf["year"], pdf["fam"], pdf["giv"]):
-                    block = f"{shard}|{int(year)}" if dated else f"{shard}|*"
-                    roles = ((fam, ("ff", "fg")), (giv, ("gf",))) if left else ((fam, ("ff", "gf")), (giv, ("fg",)))
-                    found = {role + g for text, own in roles for w in text.split() if len(w) > 2 for g in prefix(w, count) for role in own}
-                    sign = fronts(fam, giv)
-                    out += [(xxhash.xxh64_intdigest(f"{block}|{g}") - 2**63, rep, sign) for g in found]
-                yield pd.DataFrame({c: np.array([o[i] for o in out], dtype=np.int64) for i, c in enumerate(("key", "rep", "sign"))})
-
-        return run
+    reps = cut(forms.where("giv <> ''").join(weighted, "rep"))
 
-    def meet(a: DataFrame, b: DataFrame, dated: bool) -> DataFrame:
-        emit = lambda df, left, name: df.select("rep", "shard", "year", "fam", "giv").mapInPandas(keys(dated, left), "key long, rep long, sign long").withColumnsRenamed({"rep": name, "sign": f"s_{name}"})
-        # the given names begin alike, or one record has them in the other's field
-        low = F.lit((1 << 31) - 1)
-        given = F.col("s_x").bitwiseAND(F.col("s_y")).bitwiseAND(low) != 0
-        crossed = (F.shiftright("s_x", 31).bitwiseAND(F.col("s_y")).bitwiseAND(low) != 0) & (F.shiftright("s_y", 31).bitwiseAND(F.col("s_x")).bitwiseAND(low) != 0)
-        return emit(a, True, "x").join(emit(b, False, "y"), "key").where("x <> y").where(given | crossed).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+    def lay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Each form by its family words (put together, too, where they are several) and by the given name that may be one, with the
+        given names that such a reading leaves."""
+        for pdf in batches:
+            out = []
+            for rep, shard, year, fam, giv in zip(pdf["rep"], pdf["shard"], pdf["year"], pdf["fam"], pdf["giv"]):
+                f, g = fam.split(), giv.split()
+                read = {*f, *(["".join(f)] if len(f) > 1 else [])}
+                out += [(rep, shard, year, w, False, forms_of(g[:2])) for w in sorted(read)] + [(rep, shard, year, g[0], True, forms_of((f + g[1:])[:2]))]
+            if out:
+                yield pd.DataFrame(out, columns=["rep", "shard", "year", "w", "t", "alt"])
+
+    laid = cut(reps.select("rep", "shard", "year", "fam", "giv").mapInPandas(lay, "rep long, shard int, year int, w string, t boolean, alt array<string>"))
+    # what can't agree is left out before Python sees it. Given names agree if a form of both begins with the same letter or is two slips apart
+    longer = lambda u, v: F.greatest(F.length(u), F.length(v))
+    close = lambda u, v: (F.substring(u, 1, 1) == F.substring(v, 1, 1)) | (F.levenshtein(u, v) <= F.when(longer(u, v) < 6, 2).otherwise(4))
+    agree = F.exists("altx", lambda u: F.exists("alty", lambda v: close(u, v)))
+
+    def meet(a: DataFrame, b: DataFrame) -> DataFrame:
+        words_of = lambda df: df.select("shard", "year", "w", "t").distinct()
+        side = lambda df, s: df.select(F.col("shard").alias(f"shard{s}"), F.col("year").alias(f"year{s}"), F.col("w").alias(f"own{s}"), F.col("t").alias(f"read{s}"), F.col("rep").alias(s), F.col("alt").alias(f"alt{s}"))
+        on = lambda s, w: (F.col("shard") == F.col(f"shard{s}")) & (F.col("year") == F.col(f"year{s}")) & (F.col(f"w{w}") == F.col(f"own{s}")) & (F.col(f"t{w}") == F.col(f"read{s}"))
+        both = similar_words(words_of(a), words_of(b)).join(side(a, "x"), on("x", "a")).join(side(b, "y"), on("y", "b")).where("x <> y")
+        return both.where(agree).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
 
     # rows of a known year meet in their year's block; rows without one meet all rows of their shard
-    known, unknown = reps.where("year is not null"), reps.where("year is null")
-    same_year, any_year = meet(known, known, True), meet(unknown, reps, False)
-    met = same_year.unionByName(any_year).distinct()
-
-    side = lambda p, *cols: reps.select(*[F.col(c).alias(f"{p}_{c}") for c in ("rep", *cols)])
-    both = met.join(side("a", "year", "fam", "giv", "suffix", "galt", "falt"), F.col("x") == F.col("a_rep")).join(side("b", "year", "fam", "giv", "suffix", "galt", "falt"), F.col("y") == F.col("b_rep"))
-    # what can't agree is left out before Python sees it: one of the given names must begin alike or be a few edits away
-    close = lambda u, v: (F.substring(u, 1, 1) == F.substring(v, 1, 1)) | (F.levenshtein(u, v, 4) >= 0)
-    meets = lambda p, q: F.exists(F.split(p, " "), lambda u: F.exists(F.split(q, " "), lambda v: close(u, v)))
-    straight, crossed = meets("a_galt", "b_galt"), meets("a_falt", "b_galt") & meets("a_galt", "b_falt")
-    both = both.where((F.col("a_giv") != "") & (F.col("b_giv") != "")).where(straight | crossed)
-    both = both.join(side("wa", "ws").withColumnRenamed("wa_ws", "a_ws"), F.col("x") == F.col("wa_rep")).join(side("wb", "ws").withColumnRenamed("wb_ws", "b_ws"), F.col("y") == F.col("wb_rep"))
+    known, anyhow = laid.where(F.col("year") != NONE), laid.withColumn("year", F.lit(NONE))
+    unknown = laid.where(F.col("year") == NONE)
+    met = meet(known, known).unionByName(meet(unknown, anyhow)).unionByName(meet(anyhow, unknown)).distinct()
+
+    side = lambda p: reps.select(*[(F.when(F.col(c) != NONE, F.col(c)) if c == "year" else F.col(c)).alias(f"{p}_{c}") for c in ("rep", "year", "fam", "giv", "suffix", "ws")])
+    both = met.join(side("a"), F.col("x") == F.col("a_rep")).join(side("b"), F.col("y") == F.col("b_rep"))
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -196,7 +222,8 @@ def link_names(df: DataFrame) -> Links:
                 if s >= SAME:
                     keep.append(i)
                     score.append(s)
-            yield pdf.iloc[keep][["x", "y", "a_year", "b_year"]].assign(score=score, full=[len(pdf["a_giv"].iloc[i].split()[0]) > 1 and len(pdf["b_giv"].iloc[i].split()[0]) > 1 for i in keep])
+            if keep:
+                yield pdf.iloc[keep][["x", "y", "a_year", "b_year"]].assign(score=score, full=[len(pdf["a_giv"].iloc[i].split()[0]) > 1 and len(pdf["b_giv"].iloc[i].split()[0]) > 1 for i in keep])
 
     linked = cut(both.mapInPandas(verify, "x long, y long, a_year int, b_year int, score double, full boolean"))
     # a row without a year: its namesakes in the shard must all be of one year
@@ -208,7 +235,7 @@ def link_names(df: DataFrame) -> Links:
     opened = loose.join(clear.select(F.col("o").alias("ox"), F.col("only").alias("yx")), (F.col("x") == F.col("ox")) & F.col("a_year").isNull(), "left").join(clear.select(F.col("o").alias("oy"), F.col("only").alias("yy")), (F.col("y") == F.col("oy")) & F.col("b_year").isNull(), "left")
     opened = opened.where("(a_year is not null or ox is not null) and (b_year is not null or oy is not null)").where(F.col("full") | F.col("a_year").isNotNull() | F.col("b_year").isNotNull()).select("x", "y", "score")
     pairs = dated.unionByName(opened).select(F.col("x").alias("rep_a"), F.col("y").alias("rep_b"), "score")
-    return Links(rows.select("name_id", "rep", "fam", "giv"), pairs)
+    return Links(members, pairs)
 
 
 def expand(links: Links) -> DataFrame:

@@ -36,17 +36,22 @@ def osa(a: str, b: str) -> int:
     return now[-1]
 
 
+def slips(n: int) -> int:
+    """How many edits two words may lie apart of which the longer has n letters."""
+    return 0 if n < 3 else 1 if n < 6 else 2 if n < 10 else 3
+
+
 @lru_cache(1 << 18)
 def alike(a: str, b: str) -> float:
     """1 for equal words, falling with the share of edits; 0 where they are too many for a slip."""
     if a == b:
         return 1.0
     n = max(len(a), len(b))
-    slips = 1 if n < 6 else 2 if n < 10 else 3
-    if abs(len(a) - len(b)) > slips or n < 3:
+    allowed = slips(n)
+    if abs(len(a) - len(b)) > allowed or n < 3:
         return 0.0
     d = osa(a, b)
-    return 1.0 - d / n if d <= slips else 0.0
+    return 1.0 - d / n if d <= allowed else 0.0
 
 
 @lru_cache(1 << 18)
@@ -80,14 +85,14 @@ def words(text: str | None, family: bool) -> list[str]:
     if not text:
         return []
     plain = re.sub(r"\b[a-z]'(?=\w)", "", fold(text))
-    found = re.findall(r"[a-z0-9]+", plain.replace("'", ""))
+    found = re.findall(r"[^\W_]+", plain.replace("'", ""))
     return [w for w in found if w not in TITLES and w not in SUFFIXES and (w not in PARTICLES or len(w) == 1) and not (family and len(w) == 1)]
 
 
 def suffix_of(*texts: str | None) -> str:
     """The generational suffix said in any of the texts, or the empty string."""
     for text in texts:
-        for w in re.findall(r"[a-z]+", fold(text or "")):
+        for w in re.findall(r"[^\W\d_]+", fold(text or "")):
             if w in SUFFIXES:
                 return w
     return ""
