@@ -94,6 +94,28 @@ def test_address_pairs_equal_brute_force(spark):
     assert addresses.expand(addresses.match_addresses(df.limit(0))).count() == 0
 
 
+def test_a_hot_number_loses_no_pair_at_the_shipped_window(spark):
+    rng = random.Random(9)
+    slip = lambda w: w if rng.random() < 0.6 else (lambda i: w[:i] + w[i + 1] + w[i] + w[i + 2 :])(rng.randrange(len(w) - 1))
+    streets, towns = ["Sorrelholt", "Elmfold", "Oak", "Brambury", "Quarrystead"], [("Roshaven", "27195"), ("Langmouth", "27201"), ("Oakenford Falls", "06280"), ("Шуя", "15590")]
+    rows = []
+    for i in range(300):
+        town, code = rng.choice(towns)
+        rows.append((i, 0, [f"1 {slip(rng.choice(streets))} {rng.choice(['St', '', 'Ave'])}"], *rng.choice([(slip(town), None), (None, code), (town, code), (town, None)])))
+    rows += [(400 + i, 0, [f"PO Box 7{'' if i % 2 else ' '}"], *towns[i % 4]) for i in range(40)]
+    rows = [(i, s, line, town, "NC", code) for i, s, line, town, code in rows]
+    schema = "address_id long, shard int, line array<string>, city string, state string, postalCode string"
+    found = addresses.match_addresses(spark.createDataFrame(rows, schema))
+    got = {(r.rep_a, r.rep_b) for r in found.pairs.collect()}
+    everything = {(r.rep_a, r.rep_b) for r in addresses.match_addresses(spark.createDataFrame(rows, schema), window=500).pairs.collect()}
+    assert got == everything and len(got) > 300
+
+
+def test_only_unusable_addresses(spark):
+    df = spark.createDataFrame([(1, 0, ["unknown"], None, None, None), (2, None, [None], "A", None, None)], "address_id long, shard int, line array<string>, city string, state string, postalCode string")
+    assert addresses.expand(addresses.match_addresses(df)).count() == 0
+
+
 def test_a_code_and_a_city_that_go_together(spark):
     line = ["9595 E Sorrelholt Circle"]
     rows = [(1, 0, line, "Roshaven", "NC", None), (2, 0, line, None, "NC", "27195-9206"), (3, 0, line, "Oakton", "NC", None), (4, 0, line, None, "SC", "27195")]

@@ -3,7 +3,11 @@
 An address is read into number or box, direction, street, type, unit and place. Equal readings are one representative. Several passes
 sort the representatives by different orders of the components (``sorted_pairs``) and compare each with its neighbours: number, unit
 and direction strictly, street and place by edit distance that counts an exchange of neighbouring letters as one slip. A street
-name that is itself frequent is no slip of another frequent one."""
+name that is itself frequent is no slip of another frequent one.
+
+A group of equal number and unit that is no larger than the window lies within the window of every order that begins with them, so
+all its pairs are compared. Larger groups are compared in full as well: beside the windows their rows meet on grams of the
+street name and the place that every two addresses of one location share (``place_keys``)."""
 
 from __future__ import annotations
 
@@ -16,6 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftlink.llm.names import NONE, long_grams, short_grams
 from weftlink.llm.strings import fold, osa
 from weftlink.operators.neighbours import sorted_pairs
 from weftlink.session import cut, spread
@@ -110,7 +115,7 @@ def zip_of(text: str | None) -> str:
 
 
 def city_of(text: str | None) -> str:
-    return "".join(CITY_PARTS.get(w, w) for w in re.findall(r"[a-z]+", fold(text or "")))
+    return "".join(CITY_PARTS.get(w, w) for w in re.findall(r"[^\W\d_]+", fold(text or "")))
 
 
 def _place(text: str) -> tuple[str, str, str]:
@@ -173,7 +178,7 @@ def read_address(line: list[str] | None, city: str | None, state: str | None, co
             units.append(u[-1][1])
             rest = rest[: u[-1].start()] + " " + rest[u[-1].end() :]
     unit = re.sub(r"[\s-]", "", units[0]) if units else ""
-    tokens = re.findall(r"[a-z0-9'-]+", re.sub(r"(?<=\b[a-z])\.\s?(?=[a-z]\b)", "", rest).replace("'", ""))
+    tokens = re.findall(r"(?:[^\W_]|['-])+", re.sub(r"(?<=\b[a-z])\.\s?(?=[a-z]\b)", "", rest).replace("'", ""))
     direction = kind_ = ""
     plain = " ".join(tokens)
     if len(tokens) > 1 and tokens[0] in _DIRECTION and not (r := _ROUTE.match(plain)):
@@ -237,6 +242,15 @@ def same_location(a: dict, b: dict) -> float:
     return 1.0 - 0.1 * (x != y) - 0.05 * (a["zip"] != b["zip"]) - 0.05 * (a["city"] != b["city"]) - 0.02 * (a["dir"] != b["dir"]) - 0.02 * (a["type"] != b["type"])
 
 
+def place_keys(r: dict, grams) -> set[str]:
+    """What two addresses of one place have in common at least: codes a slip apart share a code with one digit left out, cities that
+    are near (or known for the other's code) share a gram."""
+    out = {f"z{r['zip'][:i]}{r['zip'][i + 1 :]}" for i in range(len(r["zip"]))}
+    for city in {r["city"], *(() if r["city"] else (r.get("cities") or "").split())} - {""}:
+        out |= {f"c{g}" for g in grams(city)}
+    return out
+
+
 FIELDS = ("kind", "number", "unit", "dir", "name", "type", "city", "state", "zip")
 
 
@@ -260,22 +274,24 @@ def match_addresses(df: DataFrame, window: int = WINDOW) -> Locations:
     """Match rows (address_id, shard, line, city, state, postalCode) within a shard.
 
     Absent, unknown and stock addresses and null ids denote nothing; repeated rows of an id count once; a null shard is a shard of its
-    own; an empty table gives empty results; other columns are not read."""
+    own; an empty table gives empty results; other columns are not read. Whether two street names a slip apart are one street
+    depends on how many addresses of the table bear each: a name that many bear is a street in its own right."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = [read_address(l, c, s, z) for l, c, s, z in zip(pdf["line"], pdf["city"], pdf["state"], pdf["postalCode"])]
             keep = [i for i, r in enumerate(rows) if r]
-            yield pd.DataFrame({"address_id": pdf["address_id"].iloc[keep].to_numpy(), "shard": pdf["shard"].iloc[keep].astype("Int32").array} | {f: [rows[i][f] for i in keep] for f in FIELDS})
+            if keep:
+                yield pd.DataFrame({"address_id": pdf["address_id"].iloc[keep].to_numpy(), "shard": pdf["shard"].iloc[keep].to_numpy()} | {f: [rows[i][f] for i in keep] for f in FIELDS})
 
     schema = "address_id long, shard int, " + ", ".join(f"`{f}` string" for f in FIELDS)
-    rows = spread(df.where("address_id is not null and size(line) > 0").select("address_id", F.coalesce("shard", F.lit(-1)).alias("shard"), "line", "city", "state", "postalCode")).mapInPandas(read, schema)
-    rows = rows.groupBy("address_id").agg(F.min(F.struct("shard", *FIELDS)).alias("r")).select("address_id", "r.*")
-    rows = cut(rows.withColumn("rep", F.xxhash64("shard", *FIELDS)))
-    reps = rows.select("rep", "shard", *FIELDS).distinct()
-    uses = reps.groupBy("name").agg(F.count("*").alias("uses"))
-    told_by_code = reps.where("zip <> '' and city = ''").select("rep", "zip").join(known_cities(rows), "zip").select("rep", "cities")
-    reps = cut(reps.join(uses, "name").join(told_by_code, "rep", "left").na.fill("", ["cities"]))
+    rows = spread(df.where("address_id is not null and size(line) > 0").select("address_id", F.coalesce(F.col("shard").cast("int"), F.lit(NONE)).alias("shard"), "line", "city", "state", "postalCode")).mapInPandas(read, schema)
+    rows = cut(rows.groupBy("address_id").agg(F.min(F.struct("shard", *FIELDS)).alias("r")).select("address_id", "r.*"))
+    forms = rows.groupBy("shard", *FIELDS).agg(F.min("address_id").alias("rep"))
+    members = rows.join(forms, ["shard", *FIELDS]).select("address_id", "rep")
+    uses = forms.groupBy("name").agg(F.count("*").alias("uses"))
+    told_by_code = forms.where("zip <> '' and city = ''").select("rep", "zip").join(known_cities(rows), "zip").select("rep", "cities")
+    reps = cut(forms.join(uses, "name").join(told_by_code, "rep", "left").na.fill("", ["cities"]))
     col = lambda *names: [F.col(n) for n in names]
     orders = [
         col("shard", "number", "unit", "zip", "name", "rep"),
@@ -283,12 +299,31 @@ def match_addresses(df: DataFrame, window: int = WINDOW) -> Locations:
         [*col("shard", "number", "unit", "city"), F.reverse("name"), F.col("rep")],
         col("shard", "name", "number", "unit", "zip", "rep"),
     ]
-    strict = (F.col("a.shard") == F.col("b.shard")) & (F.col("a.kind") == F.col("b.kind")) & (F.col("a.number") == F.col("b.number")) & (F.col("a.unit") == F.col("b.unit"))
-    met = reduce(DataFrame.unionByName, [sorted_pairs(reps, order, window, strict) for order in orders])
-    met = met.select(F.when(F.col("a.rep") < F.col("b.rep"), F.struct("a", "b")).otherwise(F.struct(F.col("b").alias("a"), F.col("a").alias("b"))).alias("p")).select("p.a", "p.b")
-    met = met.groupBy(F.col("a.rep").alias("rep_a"), F.col("b.rep").alias("rep_b")).agg(F.first("a").alias("a"), F.first("b").alias("b"))
+    strict = ["shard", "kind", "number", "unit"]
+    same = reduce(lambda x, y: x & y, [F.col(f"a.{c}") == F.col(f"b.{c}") for c in strict])
+    slim = reps.select("rep", *strict, "name", "city", "zip")
+    met = reduce(DataFrame.unionByName, [sorted_pairs(slim, order, window, same, ["rep", *strict]).select(F.col("a.rep").alias("x"), F.col("b.rep").alias("y")) for order in orders])
+
+    large = slim.groupBy("shard", "number", "unit").agg(F.count("*").alias("n")).where(F.col("n") > window).drop("n")
+    hot = reps.join(large, ["shard", "number", "unit"]).select("rep", *strict, "name", "city", "zip", "cities")
+
+    def keys(grams):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                out = [(r["rep"], f"{r['shard']}|{r['kind']}|{r['number']}|{r['unit']}|{n}|{p}") for r in pdf.to_dict("records") for n in grams(r["name"]) for p in place_keys(r, grams)]
+                if out:
+                    yield pd.DataFrame(out, columns=["rep", "key"])
+
+        return run
+
+    emit = lambda grams, name: hot.mapInPandas(keys(grams), "rep long, key string").withColumnRenamed("rep", name)
+    # of a pair the name and the place may be shorter on different sides: both sides bring both kinds of grams
+    every = lambda w: short_grams(w) | long_grams(w)
+    met = met.unionByName(emit(every, "x").join(emit(every, "y"), "key").where("x < y").select("x", "y"))
+    met = met.select(F.least("x", "y").alias("rep_a"), F.greatest("x", "y").alias("rep_b")).distinct()
     told = ("uses", "cities", *FIELDS)
-    flat = met.select("rep_a", "rep_b", *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "ab" for c in told])
+    side = lambda s: reps.select(F.col("rep").alias(f"_{s}"), *[F.col(c).alias(f"{s}_{c}") for c in told])
+    flat = met.join(side("a"), F.col("rep_a") == F.col("_a")).join(side("b"), F.col("rep_b") == F.col("_b")).drop("_a", "_b")
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -296,7 +331,7 @@ def match_addresses(df: DataFrame, window: int = WINDOW) -> Locations:
             out = pdf[["rep_a", "rep_b"]].assign(score=[same_location(x, y) for x, y in zip(a, b)])
             yield out[out["score"] > 0]
 
-    return Locations(rows.select("address_id", "rep"), flat.mapInPandas(verify, "rep_a long, rep_b long, score double"))
+    return Locations(members, flat.mapInPandas(verify, "rep_a long, rep_b long, score double"))
 
 
 def expand(found: Locations) -> DataFrame:
