@@ -56,12 +56,31 @@ def test_schedule_is_fair():
         assert all(abs(done[n] - s * (slot + 1)) < 1 + 1e-9 for n, s in shares.items())
 
 
+def test_lag_and_missed_deadlines():
+    shares = {"a": 0.5, "b": 0.3, "c": 0.2}
+    assert mixing.largest_lag(shares, mixing.schedule(shares, 1000), 1000) < 1 and mixing.largest_lag(shares, [(i, "a", i) for i in range(10)], 10) == pytest.approx(5)
+    rng = random.Random(10)
+    for _ in range(2000):
+        total, slots = rng.randrange(1, 10**6), rng.randrange(1, 300)
+        target = total * rng.random()
+        for stock in (0, int(target), int(target) + 1, target, rng.randrange(total + 1)):
+            assert mixing.missed(target, float(total), slots, stock) == (stock < target)
+
+
+def test_a_recipe_without_weights(spark):
+    docs = spark.createDataFrame([(i, "a", 10) for i in range(20)], "doc_id long, source string, n_tokens long")
+    goals = spark.createDataFrame([("z", "a", 0.0, 1, 100), ("z", "b", None, 1, 100), ("y", "a", float("nan"), None, None), ("r", "a", 1.0, 1, 100), ("r", None, 1.0, 1, 100)], "recipe_id string, source string, weight double, max_repeats int, total_tokens long")
+    m = mixing.mix(docs, goals)
+    assert {r.recipe_id for r in m.rows.collect()} == {"r"} and not any(r.short for r in m.report.where("recipe_id <> 'r'").collect())
+    assert mixing.mix(docs, goals.where("recipe_id = 'z'")).rows.count() == 0 and mixing.mix(docs, goals.limit(0)).report.count() == 0
+
+
 def test_mix_shares_caps_and_report(spark):
     docs = spark.createDataFrame([(i, " A" if i % 2 else "b-c", 10) for i in range(100)] + [(200, "b_c", 0), (201, None, 5)], "doc_id long, source string, n_tokens long")
     goals = spark.createDataFrame([("r", "a", 1.0, 1, 800), ("r", "b_c", 3.0, 1, 800), ("r", "gone", 0.0, 1, 800), ("q", "gone", 2.0, 3, 80)], "recipe_id string, source string, weight double, max_repeats int, total_tokens long")
     m = mixing.mix(docs, goals)
     report = {(r.recipe_id, r.source): r for r in m.report.collect()}
-    assert report["r", "a"].mixed_tokens == 200 and not report["r", "a"].short
+    assert all(r.lag_blocks < 1 for r in report.values()) and report["r", "a"].mixed_tokens == 200 and not report["r", "a"].short
     assert report["r", "b_c"].mixed_tokens == 500 and report["r", "b_c"].short and report["q", "gone"].short and not report["r", "gone"].short
     uses = m.rows.groupBy("recipe_id", "doc_id").count().agg(F.max("count")).first()[0]
     assert uses == 1 and mixing.mix(docs.limit(0), goals).rows.count() == 0
