@@ -24,6 +24,22 @@ def p1_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sample(spark, sf_dir).rows.select("request_id", "case_id", F.array_join("cell", "|").alias("cell"))
 
 
+def p1_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and distinct cases of every request that draws any: as many as it asks for, or all there are."""
+    return _sample(spark, sf_dir).rows.groupBy("request_id").agg(F.count("*").alias("n_rows"), F.countDistinct("case_id").alias("n_cases"))
+
+
+def p1_minimums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drawn rows of every category, counted up to its minimum: all of the minimum, as far as the supply goes."""
+    s = _sample(spark, sf_dir)
+    cases = table(spark, sf_dir, "labeled_cases").where("case_id is not null").dropDuplicates(["case_id"])
+    goals = table(spark, sf_dir, "sample_targets")
+    keys = [r[0] for r in goals.select("strata_key").distinct().sort("strata_key").collect()]
+    said = cases.select("case_id", F.explode(F.map_from_arrays(F.array(*map(F.lit, keys)), F.array(*[sampling.category(F.lit(k), F.col("strata"), F.col("rationale")) for k in keys]))).alias("strata_key", "category"))
+    drawn = s.rows.join(said, "case_id").groupBy("request_id", "strata_key", "category").agg(F.count("*").alias("n"))
+    return goals.join(drawn, ["request_id", "strata_key", "category"], "left").select("request_id", "strata_key", "category", F.least("min_rows", F.coalesce("n", F.lit(0))).alias("n_of_minimum"))
+
+
 def p1_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Supply, target, draws and gap of every request and category."""
     return _sample(spark, sf_dir).report
@@ -100,4 +116,4 @@ def p8_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.groupBy("source").agg(F.count("*").alias("n_docs"), F.count_if("flagged").alias("n_flagged"), F.avg(F.col("flagged").cast("double")).alias("rate"), F.avg("score").alias("mean_score"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_sample, p1_report, p2_found, p2_confidence, p4_found, p5_found, p6_ids, p7_found, p7_mix, p7_report, p8_found, p8_scores, p8_rates)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_sample, p1_sizes, p1_minimums, p1_report, p2_found, p2_confidence, p4_found, p5_found, p6_ids, p7_found, p7_mix, p7_report, p8_found, p8_scores, p8_rates)}

@@ -6,8 +6,10 @@ category as far as its supply goes. Within the sample every row has the key -ln(
 with the smallest keys are a weighted sample. Whole-number quotas per cell, repaired for minimums, cut the keys exactly; what
 remains between targets and draws is reported.
 
-Cells are few (products of the categories that a request names), rows are not: the cut through a cell is found from counts per
-key range, so only the rows of one narrow range are ever sorted together, however many rows a category holds.
+Cells are few (combinations of categories), rows are not. A case has one key for all requests, so cases are counted once per cell
+and narrow key range; requests work on these counts, and only rows that a request draws are joined to it. The cut through a cell is
+found from the counts, so only the rows of one range are ever sorted together, however many rows a category holds. Requests draw by
+the same keys: a case that one request draws is likelier to be drawn by another.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftlink.operators.prefix import hash_key
+from weftlink.session import cut
 
 #: The category of rows that a request doesn't name.
 REST = "(rest)"
@@ -107,53 +110,60 @@ def sample_to_targets(cases: DataFrame, targets: DataFrame, seed: int = 0) -> Sa
     A case delivered twice counts once; a null case_id is no case; null shares and minimums count as 0; a case without a category
     belongs to the rest, which only fills what the named categories leave open. Requests without cases give reports without draws."""
     goals = targets.select("request_id", "strata_key", "category", F.coalesce("target_share", F.lit(0.0)).alias("target_share"), F.coalesce(F.col("min_rows").cast("long"), F.lit(0).cast("long")).alias("min_rows"), F.coalesce(F.col("sample_rows").cast("long"), F.lit(0).cast("long")).alias("sample_rows")).distinct()
-    # a request is a small list: its keys and the categories it names
-    asked = goals.groupBy("request_id", "strata_key").agg(F.sort_array(F.collect_set("category")).alias("names"))
-    asked = asked.groupBy("request_id").agg(F.sort_array(F.collect_list(F.struct("strata_key", "names"))).alias("margins"))
     usable = F.col("frequency").isNotNull() & ~F.isnan("frequency") & (F.col("frequency") > 0) & (F.col("frequency") < float("inf"))
-    keys = [r[0] for r in goals.select("strata_key").distinct().sort("strata_key").collect()]  # the keys of the requests, not data
-    once = cases.where("case_id is not null").select("case_id", F.create_map(*[x for k in keys for x in (F.lit(k), category(F.lit(k), F.col("strata"), F.col("rationale")))] or [F.lit(""), F.lit(None).cast("string")]).alias("_said"), F.when(usable, F.col("frequency")).otherwise(1.0).alias("_weight"))
-    once = once.groupBy("case_id").agg(F.min(F.struct(F.to_json("_said").alias("j"), "_weight")).alias("p")).select("case_id", F.from_json("p.j", "map<string,string>").alias("_said"), F.col("p._weight").alias("_weight"))
-    # every request looks at every case: the requests ride along as one literal array, no join
-    requests = asked.sort("request_id").collect()
-    literal = F.array(*[F.struct(F.lit(r["request_id"]).alias("request_id"), F.array(*[F.struct(F.lit(m["strata_key"]).alias("k"), F.array(*[F.lit(n) for n in m["names"]]).alias("n")) for m in r["margins"]]).alias("m")) for r in requests])
-    rows = once.select("case_id", "_said", "_weight", F.explode(literal if requests else F.array().cast("array<struct<request_id:string,m:array<struct<k:string,n:array<string>>>>>")).alias("_r"))
-
-    def named(m: Column) -> Column:
-        said = F.try_element_at(F.col("_said"), m["k"])
-        return F.when(F.coalesce(F.array_contains(m["n"], said), F.lit(False)), said).otherwise(F.lit(REST))
-
-    rows = rows.select("case_id", "_weight", F.col("_r.request_id").alias("request_id"), F.transform("_r.m", named).alias("cell"))
-    u = (hash_key(F.lit(seed), F.col("request_id"), F.col("case_id")).cast("double") + 1.0) / F.lit(float(2**63) + 2.0)
-    rows = rows.withColumn("_key", F.log(-F.log(u) / F.col("_weight"))).withColumn("_range", F.floor(F.col("_key") * FINE))
-    ranges = rows.groupBy("request_id", "cell", "_range").agg(F.count("*").alias("n"))
+    keys = [r[0] for r in goals.where("strata_key is not null").select("strata_key").distinct().sort("strata_key").collect()]  # the keys of the requests, not data
+    said = F.array(*[F.coalesce(category(F.lit(k), F.col("strata"), F.col("rationale")), F.lit(REST)) for k in keys]).cast("array<string>")
+    once = cases.where("case_id is not null").select("case_id", said.alias("_cell"), F.when(usable, F.col("frequency")).otherwise(1.0).alias("_weight"))
+    once = once.groupBy("case_id").agg(F.min(F.struct("_cell", "_weight")).alias("p")).select("case_id", "p.*")
+    u = (hash_key(F.lit(seed), F.col("case_id")).cast("double") + 1.0) / F.lit(float(2**63) + 2.0)
+    rows = once.select("case_id", "_cell", F.log(-F.log(u) / F.col("_weight")).alias("_key")).withColumn("_range", F.floor(F.col("_key") * FINE))
+    counts = cut(rows.groupBy("_cell", "_range").agg(F.count("*").alias("n")))
+
+    # what a request sees of a cell: its own keys, and of these the categories that it names
+    parts = counts.select("_cell").distinct().select("_cell", F.explode(F.map_from_arrays(F.array(*[F.lit(k) for k in keys]).cast("array<string>"), F.col("_cell"))).alias("strata_key", "category"))
+    named = goals.select("request_id", "strata_key", "category", F.lit(True).alias("_named")).distinct()
+    seen = parts.join(goals.select("request_id", "strata_key").distinct(), "strata_key").join(named, ["request_id", "strata_key", "category"], "left")
+    seen = seen.groupBy("request_id", "_cell").agg(F.sort_array(F.collect_list(F.struct("strata_key", F.when(F.col("_named"), F.col("category")).otherwise(REST).alias("c")))).alias("p"))
+    seen = cut(seen.select("request_id", "_cell", F.expr("transform(p, x -> x.c)").alias("cell")))
+    ranges = counts.join(seen, "_cell").groupBy("request_id", "cell", "_range").agg(F.sum("n").alias("n"))
     cells = ranges.groupBy("request_id", "cell").agg(F.sum("n").alias("supply"))
     wanted = goals.groupBy("request_id").agg(F.max("sample_rows").alias("size"), F.collect_list(F.struct("strata_key", "category", "target_share", "min_rows")).alias("goals"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        size, listed = int(pdf["size"].iloc[0]), pdf["goals"].iloc[0]
+        """Quotas of a request's cells, and what raking left of each of its targets."""
+        size, listed, request = int(pdf["size"].iloc[0]), pdf["goals"].iloc[0], pdf["request_id"].iloc[0]
+        pdf = pdf[pdf["supply"].notna()]
         supply = pdf["supply"].to_numpy(dtype=float)
-        margins = []
+        margins, named = [], []
         for at, key in enumerate(sorted({g["strata_key"] for g in listed})):
             own = {g["category"]: (g["target_share"] * size, g["min_rows"]) for g in listed if g["strata_key"] == key}
             names = [*sorted(own), REST]
             rest = max(0.0, size - sum(t for t, _ in own.values()))
             place = {n: i for i, n in enumerate(names)}
-            margins.append((np.array([place[c[at]] for c in pdf["cell"]]), np.array([own[n][0] for n in names[:-1]] + [rest]), np.array([own[n][1] for n in names[:-1]] + [0], dtype=float)))
+            margins.append((np.array([place[c[at]] for c in pdf["cell"]], dtype=np.int64), np.array([own[n][0] for n in names[:-1]] + [rest]), np.array([own[n][1] for n in names[:-1]] + [0], dtype=float)))
+            named.append((key, names))
         draws = rake(supply, margins, size)
-        return pdf.assign(quota=whole(draws, supply, size, margins), expected=draws)[["request_id", "cell", "quota", "expected"]]
+        quota = whole(draws, supply, size, margins)
+        out = [(request, list(c), int(q), None, None, 0, False) for c, q in zip(pdf["cell"], quota)]
+        for (key, names), (index, target, least) in zip(named, margins):
+            have, reached, got = (np.bincount(index, x, len(names)) for x in (supply, draws, quota))
+            goal = np.maximum(target, least)
+            scarce = (reached < goal) & (have < goal)  # a gap that raking leaves and no further row could close
+            out += [(request, None, int(got[i]), key, n, int(have[i]), bool(scarce[i])) for i, n in enumerate(names[:-1])]
+        return pd.DataFrame(out, columns=["request_id", "cell", "quota", "strata_key", "category", "supply", "short"])
 
-    quotas = cells.join(wanted, "request_id").groupBy("request_id").applyInPandas(run, "request_id string, cell array<string>, quota long, expected double")
+    asked = wanted.join(cells, "request_id", "left")
+    raked = cut(asked.groupBy("request_id").applyInPandas(run, "request_id string, cell array<string>, quota long, strata_key string, category string, supply long, short boolean"))
+    quotas = raked.where("strata_key is null").select("request_id", "cell", "quota")
     before = Window.partitionBy("request_id", "cell").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     cuts = ranges.withColumn("_before", F.coalesce(F.sum("n").over(before), F.lit(0))).join(quotas, ["request_id", "cell"]).withColumn("_take", F.col("quota") - F.col("_before")).where("_take > 0")
-    inside = rows.join(cuts.select("request_id", "cell", "_range", "_take", "n"), ["request_id", "cell", "_range"])
+    cuts = cuts.join(seen, ["request_id", "cell"]).select("request_id", "cell", "_cell", "_range", "_take", "n")
+    inside = rows.join(cuts, ["_cell", "_range"])
     sure = inside.where("_take >= n").select("request_id", "case_id", "cell")
     edge = inside.where("_take < n").withColumn("_rank", F.row_number().over(Window.partitionBy("request_id", "cell", "_range").orderBy("_key", "case_id"))).where("_rank <= _take").select("request_id", "case_id", "cell")
     drawn = sure.unionByName(edge)
 
-    position = F.expr("transform(margins, m -> m.strata_key)")
-    per_cell = cells.join(quotas, ["request_id", "cell"], "left").join(asked.select("request_id", position.alias("_keys")), "request_id")
-    per_category = per_cell.select("request_id", F.col("supply"), F.coalesce("quota", F.lit(0)).alias("quota"), F.explode(F.arrays_zip(F.col("_keys").alias("k"), F.col("cell").alias("c"))).alias("z")).groupBy("request_id", F.col("z.k").alias("strata_key"), F.col("z.c").alias("category")).agg(F.sum("supply").alias("supply"), F.sum("quota").alias("drawn"))
-    report = goals.join(per_category, ["request_id", "strata_key", "category"], "left").withColumns({"supply": F.coalesce("supply", F.lit(0)), "drawn": F.coalesce("drawn", F.lit(0))})
-    report = report.withColumn("needed", F.greatest(F.col("min_rows").cast("double"), F.col("target_share") * F.col("sample_rows"))).withColumns({"gap": F.col("needed") - F.col("drawn"), "actual_share": F.coalesce(F.try_divide(F.col("drawn").cast("double"), F.col("sample_rows")), F.lit(0.0)), "short": F.col("supply") < F.col("needed")})
+    per_category = raked.where("strata_key is not null").select("request_id", "strata_key", "category", "supply", F.col("quota").alias("drawn"), "short")
+    report = goals.join(per_category, ["request_id", "strata_key", "category"], "left")
+    report = report.withColumn("needed", F.greatest(F.col("min_rows").cast("double"), F.col("target_share") * F.col("sample_rows"))).withColumns({"gap": F.col("needed") - F.col("drawn"), "actual_share": F.coalesce(F.try_divide(F.col("drawn").cast("double"), F.col("sample_rows")), F.lit(0.0))})
     return Sample(drawn, report)
