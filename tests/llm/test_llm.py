@@ -237,6 +237,38 @@ def test_entities(spark):
     assert entities.match_entities(a.limit(0), b, "l", "r", "s", "t").pairs.count() == 0
 
 
+def test_search_loses_no_likely_pair(spark):
+    rng = random.Random(11)
+    slip = lambda w: w if rng.random() < 0.6 else (lambda i: w[:i] + w[i + 1] + w[i] + w[i + 2 :])(rng.randrange(len(w) - 1))
+    people = [(rng.choice(["Ng", "Smithson", "Uleskiathoux", "Bova", "Li"]), rng.choice(["Katherine", "Robert", "Ann", "Giorgos"]), f"19{rng.randrange(40, 99)}-0{rng.randrange(1, 9)}-1{rng.randrange(9)}", f"212555{rng.randrange(1000, 9999)}") for _ in range(120)]
+    frame = lambda rows, k, p: spark.createDataFrame(rows, f"{k} long, shard int, j string").select(k, "shard", F.from_json("j", PERSON).alias(p))
+    left = [(i, 0, person(slip(f), slip(g), d, ph if rng.random() < 0.5 else None)) for i, (f, g, d, ph) in enumerate(people)]
+    right = [(i, 0, person(f, g, d, ph if rng.random() < 0.5 else None)) for i, (f, g, d, ph) in enumerate(people)]
+    m = entities.match_entities(frame(left, "l", "s"), frame(right, "r", "t"), "l", "r", "s", "t")
+    met = {(x.left, x.right) for x in m.pairs.collect()}
+    read = lambda j: entities.read_person(defaults(json.loads(j)))
+    a, b = [read(j) for _, _, j in left], [read(j) for _, _, j in right]
+    w = np.array(list(m.weights.values()))
+    likely = {(i, k) for i, x in enumerate(a) for k, y in enumerate(b) if np.dot(entities.field_scores(x, y), w[:-1]) + w[-1] >= 0}
+    assert len(likely) > 80 and len(likely & met) >= 0.98 * len(likely)
+
+
+def defaults(p):
+    return {"address": None, "identifier": None, "extension": None, **p, "name": [{"suffix": None, "text": None, **n} for n in p["name"]]}
+
+
+def test_calibration_without_and_with_labels():
+    start = np.array([1.0, -2.0, 0.5])
+    assert np.allclose(entities.calibrate(np.zeros((0, 2)), np.zeros(0), start), start)
+    rng = np.random.default_rng(0)
+    x = rng.standard_normal((4000, 2))
+    y = (rng.random(4000) < 1 / (1 + np.exp(-(2 * x[:, 0] - x[:, 1] - 1)))).astype(float)
+    assert np.allclose(entities.calibrate(x, y, start), [2, -1, -1], atol=0.25)
+    table = entities.reliability(x, y, rng.random(4000) < 0.5, start)
+    assert table["n"].sum() == 4000 and entities.calibration_error(table) < 0.03
+    assert entities.calibration_error(entities.reliability(x[:0], y[:0], y[:0] > 0, start)) == 0
+
+
 def test_abuse_model_on_held_out_documents(spark):
     rng = random.Random(5)
     calm = ["the parcel came today", "please call me back", "my address has changed", "thank you for the help", "the form is long", "see you on monday"]

@@ -3,13 +3,16 @@
 Attributes are encoded as 64-bit vectors, one bit for each hashed q-gram. Close vectors are found exactly by multi-index hashing: a
 vector is cut into ``CHUNKS`` chunks; two vectors that differ in at most ``RADIUS`` bits agree in at least CHUNKS - RADIUS of them, so each
 is filed under every combination of that many chunks. Searched are vectors of a birth date with a name word and of a full name with a
-postal code, and, at radius 0, telephone numbers, e-mails, street addresses and social security numbers. Candidates get a Dice score
+postal code, and, at radius 0, telephone numbers, e-mails, street addresses, social security numbers and birth dates with an initial. Candidates get a Dice score
 per field; a logistic model turns the field scores into a confidence. It is calibrated on candidates whose social security
-numbers say whether they are one person (a number is never a feature of the model itself), then the number's own evidence is added.
+numbers say whether they are one person (a number is never a feature of the model itself). What numbers say in addition is then
+estimated from all candidates: how much more often equal, partly equal, missing or different numbers come with the pairs that the
+model believes in than with the others. How far confidences can be relied on is measured on candidates left out of the fit.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,10 +34,7 @@ CHUNKS, RADIUS = 6, 4
 #: Labelled candidates that the calibration uses at most, taken by hash order.
 CALIBRATION_ROWS = 40_000
 #: Confidence from which two records are one person.
-SAME = 0.35
-#: Added to the calibrated log-odds where given names or suffixes contradict each other: relatives that share all else seldom have numbers,
-#: so the labelled candidates say too little about them.
-CONTRADICTION = {"given_clash": -2.0, "suffix_clash": -3.0}
+SAME = 0.5
 #: Birth dates so many days apart can be one date read wrongly.
 CLOSE_DAYS = 11
 #: Stock birth dates.
@@ -173,10 +173,12 @@ def search_keys(shard: int, r: dict[str, str]) -> Iterator[tuple[str, int]]:
     fam, giv = r["fam"].split(), r["giv"].split()
     if r["dob"]:
         born = digit_vector("d", r["dob"].replace("-", ""))
-        for w in {w for w in (*fam, *giv[:1], *r["nick"].split()[:1], *r["maiden"].split()[:1]) if len(w) > 2}:
+        for w in {*fam, *giv[:1], *r["nick"].split()[:1], *r["maiden"].split()[:1]}:
             v = born | word_vector(w)
             for k in filed(v):
                 yield f"{shard}d{k}", v
+        for x in {w[0] for w in (*fam, *giv)}:  # several slips at once, where the date and an initial are right
+            yield f"{shard}b{r['dob']}{x}", 0
     if fam and giv and r["place"]:
         v = digit_vector("z", r["place"]) if r["place"].isdigit() else word_vector(r["place"])
         for w in (*fam, giv[0]):
@@ -250,28 +252,41 @@ def number_evidence(a: str, b: str) -> int:
     return 2 if a == b else 0 if osa(a, b) <= 1 else -1
 
 
-#: Evidence of social security numbers in log-odds.
-NUMBER_WEIGHT = {2: 6.0, 1: 2.5, 0: 0.0, -1: -5.0}
-
-
-def calibrate(x: np.ndarray, y: np.ndarray, steps: int = 60, ridge: float = 1.0) -> np.ndarray:
-    """Weights of a logistic model (last: constant) by Newton steps."""
+def calibrate(x: np.ndarray, y: np.ndarray, start: np.ndarray, steps: int = 60, ridge: float = 1.0) -> np.ndarray:
+    """Weights of a logistic model (last: constant) by Newton steps. The penalty draws them towards ``start``: what few labelled
+    candidates can't say stays as it is there."""
     x = np.c_[x, np.ones(len(x))]
-    w = np.zeros(x.shape[1])
+    w = start.copy()
     penalty = ridge * np.eye(len(w))
-    penalty[-1, -1] = 1e-6
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty, x.T @ (p - y) + penalty @ w)
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty, x.T @ (p - y) + penalty @ (w - start))
         w -= step
         if np.abs(step).max() < 1e-6:
             break
     return w
 
 
-#: Weights used where the data hold too few labelled candidates to calibrate.
+#: What is believed before any labelled candidate is seen: log-odds by feature.
 DEFAULT = {"family_score": 2.0, "given_score": 3.0, "birth_score": 3.0, "phone_score": 3.0, "email_score": 3.0, "street_score": 1.5, "family_clash": -1.5, "given_clash": -5.0, "birth_clash": -4.0, "suffix_clash": -4.0, "middle_clash": -1.5, "given_birth": 2.0, "family_birth": 1.0}
 DEFAULT_CONSTANT = -7.0
+#: Bins of the reliability table.
+BINS = 10
+
+
+def reliability(x: np.ndarray, y: np.ndarray, half: np.ndarray, start: np.ndarray) -> pd.DataFrame:
+    """(bin, n, confidence, share): each half of the labelled candidates by the model of the other half."""
+    p = np.zeros(len(y))
+    for side in (True, False):
+        w = calibrate(x[half != side], y[half != side], start)
+        p[half == side] = 1 / (1 + np.exp(-np.clip(x[half == side] @ w[:-1] + w[-1], -30, 30)))
+    out = pd.DataFrame({"bin": np.minimum((p * BINS).astype(int), BINS - 1), "p": p, "y": y})
+    return out.groupby("bin").agg(n=("p", "size"), confidence=("p", "mean"), share=("y", "mean")).reset_index()
+
+
+def calibration_error(table: pd.DataFrame) -> float:
+    """Mean distance between confidence and share of true pairs, weighted by the candidates of each bin."""
+    return float((table["n"] * (table["confidence"] - table["share"]).abs()).sum() / max(table["n"].sum(), 1))
 
 
 def _read(df: DataFrame, key: str, person: str) -> DataFrame:
@@ -298,17 +313,21 @@ def _file(people: DataFrame, name: str) -> DataFrame:
                 out = []
                 for r in part.to_dict("records"):
                     out += [(xxhash.xxh64_intdigest(key) - 2**63, v - 2**64 if v >= 2**63 else v, r["k"]) for key, v in set(search_keys(r["shard"], r))]
-                yield pd.DataFrame({c: np.array([o[i] for o in out], dtype=np.int64) for i, c in enumerate(("key", f"v_{name}", name))})
+                if out:
+                    yield pd.DataFrame({c: np.array([o[i] for o in out], dtype=np.int64) for i, c in enumerate(("key", f"v_{name}", name))})
 
     return people.mapInPandas(run, f"key long, v_{name} long, {name} long")
 
 
 @dataclass
 class Matches:
-    """``pairs`` (left, right, confidence) of all candidates; ``weights`` of the calibrated model by feature."""
+    """``pairs`` (left, right, confidence) of all candidates; ``weights`` of the calibrated model by feature; ``numbers``: log-odds of
+    each outcome of comparing numbers; ``reliability`` on held-out labelled candidates."""
 
     pairs: DataFrame
     weights: dict[str, float]
+    numbers: dict[int, float]
+    reliability: pd.DataFrame
 
 
 def match_entities(left: DataFrame, right: DataFrame, left_key: str, right_key: str, left_person: str, right_person: str) -> Matches:
@@ -325,16 +344,20 @@ def match_entities(left: DataFrame, right: DataFrame, left_key: str, right_key:
         for pdf in batches:
             sides = [pdf[[f"{s}_{c}" for c in ATTRIBUTES]].set_axis(ATTRIBUTES, axis=1).to_dict("records") for s in "ab"]
             scores = [np.array(field_scores(p, q), dtype=np.float32) for p, q in zip(*sides)]
-            yield pd.DataFrame({"left": pdf["x"], "right": pdf["y"], "number": np.array([number_evidence(p["ssn"], q["ssn"]) for p, q in zip(*sides)], dtype=np.int32), "f": scores})
+            if len(pdf):
+                yield pd.DataFrame({"left": pdf["x"], "right": pdf["y"], "number": np.array([number_evidence(p["ssn"], q["ssn"]) for p, q in zip(*sides)], dtype=np.int32), "f": scores})
 
     scored = cut(spread(both).mapInPandas(score, "left long, right long, number int, f array<float>"))
-    labelled = scored.where("number in (2, -1)").orderBy(F.xxhash64("left", "right")).limit(CALIBRATION_ROWS).select("number", "f").toPandas()
+    labelled = scored.where("number in (2, -1)").orderBy(F.xxhash64("left", "right")).limit(CALIBRATION_ROWS).select("number", "f", (F.pmod(F.xxhash64("left"), F.lit(2)) == 0).alias("half")).toPandas()
     y = (labelled["number"] == 2).to_numpy(dtype=float)
-    weights = np.array([DEFAULT.get(f, 0.0) for f in FEATURES] + [DEFAULT_CONSTANT])
-    if min(y.sum(), len(y) - y.sum()) >= 50:
-        weights = calibrate(np.stack(labelled["f"].to_list()).astype(float), y)
-    weights[: len(FEATURES)] += [CONTRADICTION.get(f, 0.0) for f in FEATURES]
+    x = np.stack(labelled["f"].to_list()).astype(float) if len(y) else np.zeros((0, len(FEATURES)))
+    start = np.array([DEFAULT.get(f, 0.0) for f in FEATURES] + [DEFAULT_CONSTANT])
+    weights = calibrate(x, y, start)
     z = F.aggregate(F.zip_with("f", F.array(*[F.lit(float(w)) for w in weights[:-1]]), lambda p, q: p * q), F.lit(float(weights[-1])), lambda s, v: s + v)
-    extra = F.try_element_at(F.create_map(*[x for k, v in NUMBER_WEIGHT.items() for x in (F.lit(k), F.lit(v))]), F.col("number"))
+    belief = F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
+    told = {r["number"]: (r["yes"], r["no"]) for r in scored.groupBy("number").agg(F.sum(belief).alias("yes"), F.sum(F.lit(1.0) - belief).alias("no")).collect()}  # four outcomes
+    yes, no = (sum(v[i] for v in told.values()) for i in (0, 1))
+    numbers = {k: math.log((a + 1) / (yes + 4) / ((b + 1) / (no + 4))) for k, (a, b) in ((k, told.get(k, (0.0, 0.0))) for k in (2, 1, 0, -1))}
+    extra = F.try_element_at(F.create_map(*[x for k, v in numbers.items() for x in (F.lit(k), F.lit(v))]), F.col("number"))
     pairs = scored.select("left", "right", (F.lit(1.0) / (F.lit(1.0) + F.exp(-(z + extra)))).alias("confidence"))
-    return Matches(pairs, dict(zip([*FEATURES, "constant"], weights.tolist())))
+    return Matches(pairs, dict(zip([*FEATURES, "constant"], weights.tolist())), numbers, reliability(x, y, labelled["half"].to_numpy(dtype=bool), start))

@@ -45,9 +45,12 @@ def p1_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sample(spark, sf_dir).report
 
 
+def _entities(spark: SparkSession, sf_dir: str) -> entities.Matches:
+    return entities.match_entities(table(spark, sf_dir, "outside_records"), table(spark, sf_dir, "internal_records"), "outside_id", "internal_id", "source", "target")
+
+
 def _matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = entities.match_entities(table(spark, sf_dir, "outside_records"), table(spark, sf_dir, "internal_records"), "outside_id", "internal_id", "source", "target")
-    return found.pairs.select(F.col("left").alias("outside_id"), F.col("right").alias("internal_id"), "confidence")
+    return _entities(spark, sf_dir).pairs.select(F.col("left").alias("outside_id"), F.col("right").alias("internal_id"), "confidence")
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +63,11 @@ def p2_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _matches(spark, sf_dir)
 
 
+def p2_reliability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How confidences of labelled candidates that the model did not see compare with the share of true pairs, in tenths."""
+    return spark.createDataFrame(_entities(spark, sf_dir).reliability, "bin long, n long, confidence double, share double")
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of address records that denote the same location."""
     return addresses.expand(addresses.match_addresses(table(spark, sf_dir, "person_addresses")))
@@ -116,4 +124,4 @@ def p8_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.groupBy("source").agg(F.count("*").alias("n_docs"), F.count_if("flagged").alias("n_flagged"), F.avg(F.col("flagged").cast("double")).alias("rate"), F.avg("score").alias("mean_score"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_sample, p1_sizes, p1_minimums, p1_report, p2_found, p2_confidence, p4_found, p5_found, p6_ids, p7_found, p7_mix, p7_report, p8_found, p8_scores, p8_rates)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_sample, p1_sizes, p1_minimums, p1_report, p2_found, p2_confidence, p2_reliability, p4_found, p5_found, p6_ids, p7_found, p7_mix, p7_report, p8_found, p8_scores, p8_rates)}
