@@ -30,13 +30,14 @@ def name_collisions(df: DataFrame) -> DataFrame:
     """Full names one edit apart in other places with other birth dates; the shorter name first. One edit apart means a common
     deletion, so the names meet on deletion keys and are verified: no block of all names with one first letter."""
     present = df.where((F.col("upper_family") != "") & (F.col("zip") != "") & (F.col("dob") != ""))
-    keys = present.select("ord", "id", "upper_name", "upper_family", F.explode(N.near_keys(F.col("upper_name"))).alias("key"))
-    x = keys.select(F.col("key"), F.col("ord").alias("o1"), F.col("upper_name").alias("n1"), F.substring("upper_family", 1, 1).alias("f1"))
-    y = keys.select(F.col("key"), F.col("ord").alias("o2"), F.col("upper_name").alias("n2"), F.substring("upper_family", 1, 1).alias("f2"))
-    earlier = (F.length("n1") < F.length("n2")) | ((F.length("n1") == F.length("n2")) & (F.col("o1") < F.col("o2")))
-    met = x.join(y, "key").where((F.col("f1") == F.col("f2")) & earlier & (F.col("n1") != F.col("n2")) & N.within(F.col("n1"), F.col("n2"), 1)).select("o1", "o2").distinct()
-    pairs = met.join(side(present, "a"), F.col("o1") == a("ord")).join(side(present, "b"), F.col("o2") == b("ord")).drop("o1", "o2")
-    return pairs.where((a("id") != b("id")) & (a("zip") != b("zip")) & (a("dob") != b("dob")) & ~G.looks_same())
+    names = present.select(F.col("upper_name").alias("n"), F.substring("upper_family", 1, 1).alias("f")).distinct()
+    keys = names.select("n", "f", F.explode(N.near_keys(F.col("n"))).alias("key"))
+    x, y = keys.select("key", F.col("n").alias("n1"), F.col("f").alias("f1")), keys.select("key", F.col("n").alias("n2"), F.col("f").alias("f2"))
+    met = x.join(y, "key").where((F.col("f1") == F.col("f2")) & (F.col("n1") != F.col("n2")) & (F.length("n1") <= F.length("n2")) & N.within(F.col("n1"), F.col("n2"), 1)).select("n1", "n2", "f1").distinct()
+    first = lambda s: F.substring(F.col(f"{s}_upper_family"), 1, 1)
+    pairs = met.join(side(present, "a"), (F.col("n1") == a("upper_name")) & (F.col("f1") == first("a"))).join(side(present, "b"), (F.col("n2") == b("upper_name")) & (F.col("f1") == first("b")))
+    earlier = (F.length("n1") < F.length("n2")) | (a("ord") < b("ord"))
+    return pairs.where(earlier & (a("id") != b("id")) & (a("zip") != b("zip")) & (a("dob") != b("dob")) & ~G.looks_same()).drop("n1", "n2", "f1")
 
 
 def name_collisions_blocked(df: DataFrame) -> DataFrame:
@@ -59,13 +60,60 @@ def siblings(df: DataFrame, max_gap: int = 3) -> DataFrame:
 
 def constructed_households(df: DataFrame, min_gap: int = 15, max_pairs: int = 250, seed: int = 0) -> DataFrame:
     """For each family name the pair of different streets with the smallest fitting gap, older person first; of at most ``max_pairs``
-    families in hash order. The younger is to be given the older one's address. Per family only the smallest pair is kept while
-    joining (an aggregate, no window over the pairs)."""
-    present = df.where((F.col("upper_family") != "") & (F.col("dob") != "") & (F.col("street_zip") != ""))
-    gap = N.birth_year(b("dob")) - N.birth_year(a("dob"))
-    pairs = side(present, "a").join(side(present, "b"), (a("upper_family") == b("upper_family")) & (a("id") != b("id"))).where(G.yes(gap >= min_gap) & (a("street_zip") != b("street_zip")) & ~G.looks_same())
-    best = pairs.groupBy(a("upper_family").alias("family_name")).agg(F.min(F.struct(gap.alias("gap"), a("id").cast("string").alias("elder"), b("id").cast("string").alias("younger"))).alias("p"))
-    return best.select("family_name", F.col("p.gap").alias("age_gap_years"), F.col("p.elder").alias("elder"), F.col("p.younger").alias("younger")).orderBy(N.digest(seed, "household", F.col("family_name")), "family_name").limit(max_pairs)
+    families in hash order. The younger is to be given the older one's address.
+
+    Gaps are tried in rising order of years: people meet on
+    family and year, the gaps of a round are those that no pair was found for so far. Most families are done in the first round, so a
+    frequent name is never joined with all of itself."""
+    present = df.where((F.col("upper_family") != "") & (F.col("dob") != "") & (F.col("street_zip") != "")).withColumn("_y", N.birth_year(F.col("dob"))).where("_y is not null")
+    found = None
+    # one aggregate tells between which years a family has people at all
+    span = present.groupBy("upper_family").agg(F.min("_y").alias("_lo"), F.max("_y").alias("_hi")).where(F.col("_hi") - F.col("_lo") >= min_gap)
+    open_ = cut(present.join(span.select("upper_family"), "upper_family", "left_semi"))
+    gap, width = min_gap, 1
+    while True:
+        gaps = F.array(*[F.lit(g) for g in range(gap, gap + width)])
+        younger = open_.withColumn("_elder", F.explode(F.transform(gaps, lambda g: F.col("_y") - g)))
+        met = side(open_, "a").join(side(younger, "b"), (a("upper_family") == b("upper_family")) & (a("_y") == F.col("b__elder")) & (a("id") != b("id")))
+        pairs = met.where((a("street_zip") != b("street_zip")) & ~G.looks_same())
+        best = pairs.groupBy(a("upper_family").alias("family_name")).agg(F.min(F.struct((F.col("b__y") - F.col("a__y")).alias("gap"), a("id").cast("string").alias("elder"), b("id").cast("string").alias("younger"))).alias("p"))
+        best = cut(best)
+        found = best if found is None else found.unionByName(best)
+        gap, width = gap + width, width * 2
+        open_ = cut(open_.join(best.select(F.col("family_name").alias("upper_family")), "upper_family", "left_anti"))
+        left = open_.agg(F.max("_y") - F.min("_y")).first()[0]
+        if left is None or left < gap:
+            break
+    return found.select("family_name", F.col("p.gap").alias("age_gap_years"), F.col("p.elder").alias("elder"), F.col("p.younger").alias("younger")).orderBy(N.digest(seed, "household", F.col("family_name")), "family_name").limit(max_pairs)
+
+
+#: Institutions that people are put into, with their reserved addresses.
+INSTITUTIONS = {
+    "shelter": ("SYNTHETIC TEST ADDRESS - 100 SHELTER WAY", "00001"),
+    "nursing_facility": ("SYNTHETIC TEST ADDRESS - 200 NURSING FACILITY DR", "00002"),
+    "correctional_institution": ("SYNTHETIC TEST ADDRESS - 300 CORRECTIONAL INSTITUTION RD", "00003"),
+    "hotel_short_term_housing": ("SYNTHETIC TEST ADDRESS - 400 SHORT TERM HOUSING BLVD", "00004"),
+    "halfway_house": ("SYNTHETIC TEST ADDRESS - 500 HALFWAY HOUSE LN", "00005"),
+    "dormitory": ("SYNTHETIC TEST ADDRESS - 600 DORMITORY HALL", "00006"),
+    "group_home": ("SYNTHETIC TEST ADDRESS - 700 GROUP HOME CT", "00007"),
+    "migrant_camp": ("SYNTHETIC TEST ADDRESS - 800 MIGRANT CAMP RD", "00008"),
+}
+INSTITUTION_CITY, INSTITUTION_STATE = "TESTCITY", "ZZ"
+
+
+def at_institution(person: Column, institution: Column) -> Column:
+    """A person with the address of an institution as the only one; null for an unknown institution."""
+    known = F.create_map(*[x for k, (line, code) in INSTITUTIONS.items() for x in (F.lit(k), F.struct(F.lit(line).alias("line"), F.lit(code).alias("code")))])
+    place = F.try_element_at(known, institution)
+    address = F.array(F.struct(F.lit("home").alias("use"), F.array(place["line"]).alias("line"), F.lit(INSTITUTION_CITY).alias("city"), F.lit(INSTITUTION_STATE).alias("state"), place["code"].alias("postalCode")))
+    return F.when(place.isNotNull(), person.withField("address", address))
+
+
+def institution_groups(df: DataFrame, size: int = 3, seed: int = 0) -> DataFrame:
+    """The groups of all institutions, with the addresses that their people share."""
+    pairs = reduce(DataFrame.unionByName, [institution_group(df, i, size, seed) for i in INSTITUTIONS])
+    rows = [(i, line, code) for i, (line, code) in INSTITUTIONS.items()]
+    return pairs.join(df.sparkSession.createDataFrame(rows, "institution string, line string, postalCode string"), "institution")
 
 
 def institution_group(df: DataFrame, institution: str, size: int = 3, seed: int = 0) -> DataFrame:
@@ -143,9 +191,17 @@ def same_person_ids(probe: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def duplicate_ids(probe: DataFrame, known: DataFrame) -> DataFrame:
-    """(probe_id, id) of probable duplicates, met by near keys of SSN and birth date and verified."""
+    """(probe_id, id) of probable duplicates, met by near keys of the SSN, or of the birth date together with what else must agree: a
+    phone, a name one edit apart, or, on one day, the first or the family name. A birth date alone joins nobody. Dates that are
+    close agree in their year or in all that follows it."""
     empty = F.array().cast("array<string>")
-    block = F.concat(F.transform(F.when(F.col("ssn").isNotNull(), N.near_keys(F.col("ssn"))).otherwise(empty), lambda x: F.concat(F.lit("s|"), x)), F.transform(F.when(F.col("dob") != "", N.date_keys(F.col("dob"))).otherwise(empty), lambda x: F.concat(F.lit("d|"), x)))
+    put = lambda tag, xs: F.transform(xs, lambda x: F.concat(F.lit(tag), x))
+    whole = F.when((F.col("first") != "") & (F.col("family") != ""), F.concat_ws(" ", "first", "family"))
+    others = F.concat(put("p", F.col("phones")), put("n", F.when(whole.isNotNull(), N.near_keys(whole)).otherwise(empty)))
+    halves = F.array(F.substring("dob", 1, 4), F.right("dob", F.lit(5)))
+    day = lambda tag, c: F.when(F.col(c) != "", F.array(F.concat_ws("|", F.lit(tag), "dob", c))).otherwise(empty)
+    dated = F.when(F.col("dob") != "", F.concat(day("f", "first"), day("g", "family"), F.flatten(F.transform(halves, lambda x: put("d", F.transform(others, lambda o: F.concat_ws("|", x, o))))))).otherwise(empty)
+    block = F.concat(put("s|", F.when(F.col("ssn").isNotNull(), N.near_keys(F.col("ssn"))).otherwise(empty)), dated)
     keys = lambda df, n: df.select(F.col("id").alias(n), F.explode(block).alias("key"))
     met = keys(probe, "pid_").join(keys(known, "kid_"), "key").where("pid_ <> kid_").select("pid_", "kid_").distinct()
     pairs = met.join(side(probe, "a"), F.col("pid_") == a("id")).join(side(known, "b"), F.col("kid_") == b("id"))

@@ -158,7 +158,7 @@ def construct_household(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def construct_institutional(spark: SparkSession, d: str) -> DataFrame:
-    return mine.institution_group(people(persona(spark, d)), "shelter", 4)
+    return mine.institution_groups(people(persona(spark, d)), 4)
 
 
 @query()

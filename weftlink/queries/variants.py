@@ -102,10 +102,15 @@ def var_diacritic(spark: SparkSession, d: str) -> DataFrame:
     return _one(spark, d, mutate.diacritic(F.col("given"), F.col("pid")))
 
 
-@query(S.with_persona(f"SELECT pid, ['999-999-9999','000-000-0000'][{_D(2, 'dummy_phone')}+1] AS variant FROM persona WHERE phone IS NOT NULL"))
+@query(S.with_persona(f"""SELECT pid, CASE WHEN ssn IS NOT NULL THEN ['000-00-0000','999-99-9999','123-45-6789','111-11-1111'][{_D(4, 'dummy_ssn')}+1] END AS ssn,
+ CASE WHEN phone IS NOT NULL THEN ['000-000-0000','555-555-5555','999-999-9999'][{_D(3, 'dummy_phone')}+1] END AS phone, ['UNKNOWN','BABY BOY','BABY GIRL'][{_D(3, 'dummy_given')}+1] AS given,
+ ['HOMELESS','UNKNOWN'][{_D(2, 'dummy_address')}+1] AS line, ['1900-01-01','1901-01-01'][{_D(2, 'dummy_dob')}+1] AS dob FROM persona"""))
 def apply_placeholder(spark: SparkSession, d: str) -> DataFrame:
-    made = as_person(persona(spark, d)).withColumn("v", drift.apply_dummy(F.col("person"), "phone", mutate.dummy("phone", F.col("pid"))))
-    return made.where("v is not null").select("pid", F.get(F.filter("v.telecom", lambda t: t["system"] == "phone"), F.lit(0))["value"].alias("variant"))
+    """The dummy value that each field of each person would get; null where the field is absent."""
+    put = {f: drift.apply_dummy(F.col("person"), f, mutate.dummy(f, F.col("pid"))) for f in mutate.DUMMIES}
+    made = as_person(persona(spark, d)).select("pid", *[v.alias(f"p_{f}") for f, v in put.items()])
+    phone = F.get(F.filter("p_phone.telecom", lambda t: t["system"] == "phone"), F.lit(0))["value"]
+    return made.select("pid", F.get("p_ssn.identifier", F.lit(0))["value"].alias("ssn"), phone.alias("phone"), F.get(F.get("p_given.name", F.lit(0))["given"], F.lit(0)).alias("given"), F.get(F.get("p_address.address", F.lit(0))["line"], F.lit(0)).alias("line"), F.col("p_dob.birthDate").alias("dob"))
 
 
 @query(S.with_persona("SELECT pid, ssn IS NOT NULL AS applies FROM persona"))
@@ -113,9 +118,9 @@ def ssn_dropped(spark: SparkSession, d: str) -> DataFrame:
     return as_person(persona(spark, d)).select("pid", drift.drop_ssn(F.col("person")).isNotNull().alias("applies"))
 
 
-@query(S.with_persona("SELECT pid, CASE gender WHEN 'unknown' THEN 'other' ELSE 'unknown' END AS gender FROM persona"))
+@query(S.with_persona(f"SELECT pid, CASE gender WHEN 'male' THEN ['female','unknown'] WHEN 'female' THEN ['male','unknown'] WHEN 'unknown' THEN ['male','female'] END[{_D(2, 'gender')}+1] AS gender FROM persona"))
 def gender_drift(spark: SparkSession, d: str) -> DataFrame:
-    return as_person(persona(spark, d)).select("pid", drift.gender_drift(F.col("person"))["gender"].alias("gender"))
+    return as_person(persona(spark, d)).select("pid", drift.gender_drift(F.col("person"), F.col("pid"))["gender"].alias("gender"))
 
 
 @query()
