@@ -49,6 +49,7 @@ def keyed_positives(made: DataFrame) -> DataFrame:
 
 #: Fields that get a dummy value in common. People of an institution.
 COLLISION_FIELDS = ("ssn", "phone", "dob")
+INSTITUTIONS = tuple(mine.INSTITUTIONS)
 GROUP = 3
 
 
@@ -59,7 +60,7 @@ def constructed(k: DataFrame, seed: int = 0) -> DataFrame:
     told = lambda df, x, y, t, s: df.select(x.cast(kind).alias("source_id"), y.cast(kind).alias("target_id"), F.lit(t).alias("pair_type"), F.lit(s).alias("subtype"))
     parts = [told(mine.constructed_households(k, seed=seed), F.col("elder"), F.col("younger"), "special_population", "multi_generational_household")]
     parts += [told(mine.placeholder_collisions(k, f, seed=seed), a("id"), b("id"), "placeholder_collision_negative", f) for f in COLLISION_FIELDS]
-    parts += [told(mine.institution_group(k, i, GROUP, seed), F.col("query_id"), F.col("candidate_id"), "special_population", i) for i in mine.INSTITUTIONS]
+    parts += [told(mine.institution_group(k, i, GROUP, seed), F.col("query_id"), F.col("candidate_id"), "special_population", i) for i in INSTITUTIONS]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -13,33 +13,29 @@ from weftlink.plans.persona import people
 from weftlink.session import cut
 
 
-def pools(flat_dup: DataFrame, size: int = 40, seed: int = 0, profile: drift.Profile = drift.Profile(), step: int = 10) -> DataFrame:
-    """(query_id, candidate_id, is_match, category, place, rationale). Matches are the copies of a query, thinned so that some queries have
-    none or one; decoys are near misses in order of kind, then strangers drawn by hash; matches are never cut.
-
-    Strangers: everybody's hash falls into one of many slices, a query reads the few slices after its own hash until its pool is
-    surely full. No query meets the whole table. Whoever could be the query is left out by an anti join."""
-    k = cut(people(flat_dup))  # the keys are read by every join below
-    old, new = k.where("id < 10000000"), k.where("id >= 10000000")
-    queries = old.where(F.col("id") % step == 0)
-    matches = mine.same_person_ids(queries, new).unionByName(mine.duplicate_ids(queries, new)).distinct().select(F.col("probe_id").alias("query_id"), F.col("id").alias("candidate_id"))
+def thin(matches: DataFrame, profile: drift.Profile = drift.Profile(), seed: int = 0) -> DataFrame:
+    """Rows (query_id, candidate_id, ...) of matches, without those of some queries and all but one of others, by the profile's rates."""
     roll = N.uniform(seed, "match_count", F.col("query_id"))
     none, single = profile.rate("query_no_match"), profile.rate("query_single_match")
     nth = F.row_number().over(Window.partitionBy("query_id").orderBy(N.digest(seed, "match", F.col("query_id"), F.col("candidate_id")), "candidate_id"))
-    kept = matches.withColumn("_n", nth).where((roll >= none) & ((roll >= none + single) | (F.col("_n") == 1))).drop("_n")
-    yes = kept.select("query_id", "candidate_id", F.lit(True).alias("is_match"), F.lit("match").alias("category"), F.lit(0).alias("prio"))
-    rank = F.array_position(F.array(*[F.lit(x) for x in G.KINDS]), F.col("kind")).cast("int")
-    near = mine.near_misses(queries, old, 10, seed).select(a("id").alias("query_id"), b("id").alias("candidate_id"), F.lit(False).alias("is_match"), F.col("kind").alias("category"), (F.col("rank") * 10 + rank).alias("prio"))
-    # strangers: ``slices`` grows with the table, so that a slice holds about ``size`` people
-    n = old.count()
-    slices = max(1, n // size)
+    return matches.withColumn("_n", nth).where((roll >= none) & ((roll >= none + single) | (F.col("_n") == 1))).drop("_n")
+
+
+def strangers(queries: DataFrame, people: DataFrame, size: int, seed: int = 0) -> DataFrame:
+    """(query_id, candidate_id) of people who are surely somebody else, about three pools full for each query: everybody's hash falls into one
+    of many slices, a query reads the slices after its own. No query meets the whole table; ``slices`` grows with the table, so that
+    a slice holds about ``size`` people."""
+    slices = max(1, people.count() // size)
     at = lambda c: N.draw(slices, seed, "slice", c)
     asked = queries.select(F.col("id").alias("query_id"), F.explode(F.array(*[F.pmod(at(F.col("id")) + i, F.lit(slices)) for i in range(min(3, slices))])).alias("slice"))
-    strangers = asked.join(old.select(F.col("id").alias("candidate_id"), at(F.col("id")).alias("slice")), "slice").where("query_id <> candidate_id").select("query_id", "candidate_id")
-    same = mine.same_person_ids(queries, old).unionByName(mine.duplicate_ids(queries, old)).select(F.col("probe_id").alias("query_id"), F.col("id").alias("candidate_id")).distinct()
-    fill = strangers.join(same, ["query_id", "candidate_id"], "left_anti").select("query_id", "candidate_id", F.lit(False).alias("is_match"), F.lit("stranger").alias("category"), F.lit(100000).alias("prio"))
-    every = yes.unionByName(near).unionByName(fill)
-    # the first way in which somebody came in counts
+    met = asked.join(people.select(F.col("id").alias("candidate_id"), at(F.col("id")).alias("slice")), "slice").where("query_id <> candidate_id").select("query_id", "candidate_id")
+    same = mine.same_person_ids(queries, people).unionByName(mine.duplicate_ids(queries, people)).select(F.col("probe_id").alias("query_id"), F.col("id").alias("candidate_id")).distinct()
+    return met.join(same, ["query_id", "candidate_id"], "left_anti")
+
+
+def place(every: DataFrame, size: int, seed: int = 0) -> DataFrame:
+    """(query_id, candidate_id, is_match, category, place, rationale) from candidates (query_id, candidate_id, is_match, category, prio): the
+    first way in which somebody came in counts, lower priorities come first, matches are never cut, places are drawn by hash."""
     once = every.groupBy("query_id", "candidate_id").agg(F.min(F.struct("prio", "category", "is_match")).alias("m")).select("query_id", "candidate_id", "m.*")
     order = Window.partitionBy("query_id").orderBy("prio", N.digest(seed, "fill", F.col("query_id"), F.col("candidate_id")), "candidate_id")
     trimmed = once.withColumn("_r", F.row_number().over(order)).where(F.col("is_match") | (F.col("_r") <= size))
@@ -49,6 +45,19 @@ def pools(flat_dup: DataFrame, size: int = 40, seed: int = 0, profile: drift.Pro
     return placed.join(said, "query_id", "left").withColumn("rationale", F.concat(F.lit("population"), F.when(F.col("_c").isNotNull(), F.concat(F.lit("/"), "_c")).otherwise(""))).drop("_c")
 
 
+def pools(flat_dup: DataFrame, size: int = 40, seed: int = 0, profile: drift.Profile = drift.Profile()) -> DataFrame:
+    """(query_id, candidate_id, is_match, category, place, rationale); everybody is a query. Matches are the copies of a query, thinned so that
+    some queries have none or one; decoys are near misses in order of kind, then strangers drawn by hash."""
+    k = cut(people(flat_dup))  # the keys are read by every join below
+    old, new = k.where("id < 10000000"), k.where("id >= 10000000")
+    matches = mine.same_person_ids(old, new).unionByName(mine.duplicate_ids(old, new)).distinct().select(F.col("probe_id").alias("query_id"), F.col("id").alias("candidate_id"))
+    yes = thin(matches, profile, seed).select("query_id", "candidate_id", F.lit(True).alias("is_match"), F.lit("match").alias("category"), F.lit(0).alias("prio"))
+    rank = F.array_position(F.array(*[F.lit(x) for x in G.KINDS]), F.col("kind")).cast("int")
+    near = mine.near_misses(old, old, 10, seed).select(a("id").alias("query_id"), b("id").alias("candidate_id"), F.lit(False).alias("is_match"), F.col("kind").alias("category"), (F.col("rank") * 10 + rank).alias("prio"))
+    fill = strangers(old, old, size, seed).select("query_id", "candidate_id", F.lit(False).alias("is_match"), F.lit("stranger").alias("category"), F.lit(100000).alias("prio"))
+    return place(yes.unionByName(near).unionByName(fill), size, seed)
+
+
 def as_arrays(long: DataFrame) -> DataFrame:
     """One row per query with ordered arrays, for the sink; a pool has a fixed size."""
     row = F.struct("place", F.col("candidate_id").cast("string").alias("id"), "is_match")
