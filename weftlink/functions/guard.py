@@ -136,17 +136,3 @@ def baselines() -> dict[str, Column]:
 
 def two_of_three() -> Column:
     return both("first").cast("int") + both("family").cast("int") + both("dob").cast("int") >= 2
-
-
-#: Link rules that need no birth date: the fields that must all agree.
-DATELESS_RULES = (("first_any", "all_phones", "ssn4"), ("first_any", "emails", "ssn4"))
-
-
-def only_by_names_phone_zip() -> Column:
-    """Positives that nothing but names, phone and ZIP links although the birth dates differ: they can't be found by other rules."""
-    days = F.abs(F.datediff(a("dob").try_cast("date"), b("dob").try_cast("date")))
-    fuzzy = lambda n: both(n) | yes((F.length(a(n)) >= 5) & (F.length(b(n)) >= 5) & N.osa_within_one(a(n), b(n)))
-    first = fuzzy("first") | N.given_variant(a("first"), b("first"))
-    last4 = yes(F.right(a("ssn"), F.lit(4)) == F.right(b("ssn"), F.lit(4)))
-    linked = last4 & both("first") & (overlap("all_phones") | overlap("emails"))
-    return ~yes(days <= 1) & first & fuzzy("family") & overlap("all_phones") & both("nzip") & ~linked

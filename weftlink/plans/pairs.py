@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from weftlink.functions import guard as G
 from weftlink.functions import norm as N
+from weftlink.functions.exclusion import Policy
 from weftlink.functions.guard import a, b
-from weftlink.model import key_columns
 from weftlink.operators import drift, mine, mutate
 from weftlink.plans.persona import as_person, people
 from weftlink.session import cut
@@ -38,15 +38,6 @@ def positives(flat: DataFrame, seed: int = 0, profile: drift.Profile = drift.Pro
     return reduce(DataFrame.unionByName, [*parts, events])
 
 
-def keyed_positives(made: DataFrame) -> DataFrame:
-    """The positives with flat keys of both sides (a_*, b_*)."""
-    one = F.struct(*key_columns(F.col("person")))
-    two = F.struct(*key_columns(F.col("variant")))
-    names = [f.name for f in made.select(one.alias("x")).schema["x"].dataType]
-    both = made.withColumns({"_a": one, "_b": two})
-    return both.select("pid", "pair_type", "subtype", *[F.col(f"_a.{n}").alias(f"a_{n}") for n in names], *[F.col(f"_b.{n}").alias(f"b_{n}") for n in names])
-
-
 #: Fields that get a dummy value in common. People of an institution.
 COLLISION_FIELDS = ("ssn", "phone", "dob")
 INSTITUTIONS = tuple(mine.INSTITUTIONS)
@@ -87,8 +78,8 @@ def negatives(flat: DataFrame, seed: int = 0, cap: int = 3) -> DataFrame:
 
 def pair_tier(flat: DataFrame, seed: int = 0, profile: drift.Profile = drift.Profile(), exclude: bool = True) -> DataFrame:
     """(case_id, source_id, pair_type, subtype, label): matches without those that the exclusion drops, and all non-matches."""
-    made = keyed_positives(positives(flat, seed, profile))
-    kept = made.where(~G.only_by_names_phone_zip()) if exclude else made
+    made = positives(flat, seed, profile)
+    kept = Policy().kept(made, "person", "variant") if exclude else made
     yes = kept.select(F.concat_ws(":", "pair_type", "subtype", F.col("pid").cast("string")).alias("case_id"), F.col("pid").alias("source_id"), "pair_type", "subtype", F.lit(True).alias("label"))
     no = negatives(flat, seed).select(F.concat_ws(":", "pair_type", "subtype", F.col("source_id").cast("string"), F.col("target_id").cast("string")).alias("case_id"), "source_id", "pair_type", "subtype", F.lit(False).alias("label"))
     return yes.unionByName(no)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +40,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(configured)
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder beside the checkpoints, where all executors can write and read."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write the rows once to the shared checkpoint folder and go on from there, so that a lost executor costs no recomputation
     of what lies before and rows that depend on a physical order keep it."""

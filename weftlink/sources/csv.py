@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import glob
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,27 +50,46 @@ def to_person(df: DataFrame) -> DataFrame:
     return df.withColumn("person", person)
 
 
-def shards(folder: str, pattern: str = "*.csv", limit: int | None = None) -> list[str]:
-    """The shard files of a folder by name."""
-    return sorted(glob.glob(os.path.join(folder, pattern)))[:limit]
+def shards(spark: SparkSession, folder: str, pattern: str = "*.csv", limit: int | None = None) -> list[str]:
+    """The shard files of a folder, on any file system that Spark reads, by name."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{pattern}")
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(s.getPath().toString() for s in (found or []))[:limit]
+
+
+def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """The columns of a file, from its first line alone."""
+    jvm, where = spark._jvm, spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(where)
+    try:
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        stream.close()
+    return tuple(c.strip().strip('"').lstrip("\ufeff") for c in (line or "").split(","))
 
 
 def read_people(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(shard, person) of CSV shards with a header; everything is text, nothing is inferred. Paths with ``..`` and files without the
-    columns FIRST and LAST are refused before anything is read."""
+    columns FIRST and LAST are refused before anything is read. Files with one header are one scan, however many there are; no
+    paths give no people."""
     ship(spark)
+    groups: dict[tuple[str, ...], list[str]] = {}
     for path in paths:
         if ".." in path.split("/"):
             raise ValueError(f"path with ..: {path}")
-        head = spark.read.text(path).first()
-        columns = [c.strip().strip('"') for c in (head[0] if head else "").split(",")]
+        columns = _header(spark, path)
         if not {"FIRST", "LAST"} <= set(columns):
             raise ValueError(f"no columns FIRST and LAST in {path}")
-    frames = [spark.read.csv(p, header=True, inferSchema=False, enforceSchema=False).withColumn("shard", F.lit(i)) for i, p in enumerate(paths)]
-    together = frames[0]
-    for f in frames[1:]:
-        together = together.unionByName(f, allowMissingColumns=True)
-    return to_person(together).select("shard", "person")
+        groups.setdefault(columns, []).append(path)
+    name = lambda c: F.regexp_extract(c, r"([^/]+/[^/]+)$", 1)
+    tail = lambda p: "/".join(p.rstrip("/").split("/")[-2:])
+    numbers = spark.createDataFrame([(tail(p), i) for i, p in enumerate(paths)], "_file string, shard int")
+    together = spark.createDataFrame([], FLAT).withColumn("_file", F.lit(""))
+    for columns, files in groups.items():
+        kind = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+        read = spark.read.csv(files, header=True, schema=kind, enforceSchema=False)
+        together = together.unionByName(read.withColumn("_file", name(F.input_file_name())), allowMissingColumns=True)
+    return to_person(together).join(numbers, "_file").select("shard", "person")
 
 
 def sample_and_donors(people: DataFrame, sample: int, donors: int) -> tuple[DataFrame, DataFrame]:
