@@ -114,10 +114,10 @@ def comparison_text(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame(list(enumerate(evaluate.format_report(c, "name and date", "weighted").split("\n"))), "line int, text string")
 
 
-@query()
+@query(_sql("SELECT lost, gained, round(least(1.0, 2*(SELECT sum(exp(lgamma(lost+gained+1)-lgamma(i+1)-lgamma(lost+gained-i+1)-(lost+gained)*ln(2))) FROM range(0, 100000) t(i) WHERE i<=least(lost,gained))),9)::DOUBLE AS p_value FROM (SELECT count(*) FILTER (WHERE name_dob AND NOT multi_field) AS lost, count(*) FILTER (WHERE NOT name_dob AND multi_field) AS gained FROM sc WHERE label)"))
 def mcnemar(spark: SparkSession, d: str) -> DataFrame:
     row = paired_recall(spark, d).first()
-    return spark.createDataFrame([(row["lost"], row["gained"], evaluate.mcnemar(row["lost"], row["gained"]))], "lost long, gained long, p_value double")
+    return spark.createDataFrame([(row["lost"], row["gained"], round(evaluate.mcnemar(row["lost"], row["gained"]), 9))], "lost long, gained long, p_value double")
 
 
 _ZA, _ZB = "1.959963984540054", "0.8416212335729143"

@@ -161,7 +161,10 @@ def construct_institutional(spark: SparkSession, d: str) -> DataFrame:
     return mine.institution_groups(people(persona(spark, d)), 4)
 
 
-@query()
+_COLLIDE = f"placed AS (SELECT *, row_number() OVER (ORDER BY {S.digest('0', 'placeholder', 'phone', '@id')}, id)-1 AS r FROM k WHERE upper_family<>'')"
+
+
+@query(S.with_people(f"SELECT a.id AS id_a, b.id AS id_b FROM placed a JOIN placed b ON a.r%2=0 AND b.r=a.r+1 AND a.upper_family<>b.upper_family AND NOT {S.ALIKE} ORDER BY a.r LIMIT 100", False, _COLLIDE))
 def placeholder_collision(spark: SparkSession, d: str) -> DataFrame:
     return _pairs(mine.placeholder_collisions(people(persona(spark, d)), "phone"))
 

@@ -176,17 +176,19 @@ def frequency_lookup(spark: SparkSession, d: str) -> DataFrame:
     return jsonl.with_frequency(table(spark, d, "labeled_cases").select("case_id", "rationale"), weights).select("case_id", "frequency")
 
 
-@query()
+@query("SELECT case_id, expected_match, frequency, substr(sha256(source.id),1,16) AS source_id, substr(sha256(case_id||':target'),1,16) AS target_id, nullif(source.birthDate,'') AS source_dob, nullif(target.name[1].family,'') AS target_family FROM labeled_cases WHERE source IS NOT NULL AND target IS NOT NULL")
 def pair_rows(spark: SparkSession, d: str) -> DataFrame:
     from weftlink.session import table
 
-    return jsonl.pair_rows(table(spark, d, "labeled_cases")).select("case_id", "expected_match", "frequency", F.to_json("source").alias("source"), F.to_json("target").alias("target"))
+    rows = jsonl.pair_rows(table(spark, d, "labeled_cases").where("source is not null and target is not null"))
+    return rows.select("case_id", "expected_match", "frequency", F.col("source.id").alias("source_id"), F.col("target.id").alias("target_id"), F.col("source.birthDate").alias("source_dob"), F.get("target.name", F.lit(0))["family"].alias("target_family"))
 
 
-@query()
+@query(S.with_persona("SELECT substr(sha256('candidate:'||pid),1,16) AS id, substr(sha256('candidate:'||pid),1,16) AS patient_id, family, CAST(dob AS VARCHAR) AS dob, phone FROM persona_dup"))
 def candidate_rows(spark: SparkSession, d: str) -> DataFrame:
     base = as_person(persona_dup(spark, d)).select(F.col("pid").cast("string").alias("candidate_id"), F.col("person").alias("patient"))
-    return jsonl.candidate_rows(base).select("id", F.to_json("patient").alias("patient"))
+    phone = F.get(F.filter("patient.telecom", lambda t: t["system"] == "phone"), F.lit(0))["value"]
+    return jsonl.candidate_rows(base).select("id", F.col("patient.id").alias("patient_id"), F.get("patient.name", F.lit(0))["family"].alias("family"), F.col("patient.birthDate").alias("dob"), phone.alias("phone"))
 
 
 @query()
@@ -215,11 +217,13 @@ def conformance(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("violation").agg(F.count("*").alias("n"))
 
 
-@query()
+@query("""SELECT internal_id, nullif(target.gender,'') AS gender, nullif(target.birthDate,'') AS dob, len(list_filter(target.telecom, lambda t: coalesce(t.system,'')<>'' OR coalesce(t.value,'')<>'' OR t.rank IS NOT NULL)) AS n_telecom,
+ nullif(target.address[1].city,'') AS city FROM internal_records""")
 def export_ready_people(spark: SparkSession, d: str) -> DataFrame:
     from weftlink.session import table
 
-    return table(spark, d, "internal_records").select("internal_id", F.to_json(export_ready(F.col("target"))).alias("person"))
+    made = table(spark, d, "internal_records").select("internal_id", export_ready(F.col("target")).alias("p"))
+    return made.select("internal_id", "p.gender", F.col("p.birthDate").alias("dob"), F.when(F.col("p.telecom").isNotNull(), F.size("p.telecom")).alias("n_telecom"), F.get("p.address", F.lit(0))["city"].alias("city"))
 
 
 @query(S.with_persona("SELECT pid, upper(given) AS given, phone FROM persona"))
