@@ -162,6 +162,15 @@ def test_an_initial_in_the_family_field(spark):
     assert {tuple(r) for r in names.expand(names.link_names(df)).collect()} == {(1, 2), (1, 3), (2, 3), (1, 4), (2, 4), (3, 4)}
 
 
+def test_short_cuts_equal_the_edit_distance():
+    rng = random.Random(12)
+    for _ in range(20_000):
+        a, b = ("".join(rng.choice("abc1") for _ in range(rng.randrange(9))) for _ in "ab")
+        b = b if rng.random() < 0.5 else a[:3] + a[4:5] + a[3:4] + a[5:]
+        d = strings.osa(a, b)
+        assert strings.within_one(a, b) == (d <= 1) and all(strings.apart(a, b, k) == (d if d <= k else None) for k in (1, 2, 3))
+
+
 def test_similar_words_share_a_gram():
     rng = random.Random(7)
     pick = lambda: rng.choice("abcdé")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftlink.llm.names import NONE, long_grams, short_grams
-from weftlink.llm.strings import fold, osa
+from weftlink.llm.strings import apart, fold, within_one
 from weftlink.operators.neighbours import sorted_pairs
 from weftlink.session import cut, spread
 
@@ -97,7 +97,7 @@ def _type(token: str) -> str | None:
         return _TYPE[token]
     if len(token) >= 5:
         for name in TYPES:
-            if len(name) >= 5 and osa(token, name) <= 1:
+            if len(name) >= 5 and within_one(token, name):
                 return name
     return None
 
@@ -207,7 +207,7 @@ def near(a: str, b: str) -> bool:
     if a == b:
         return True
     n = max(len(a), len(b))
-    return abs(len(a) - len(b)) <= 2 and n > 3 and osa(a, b) <= (1 if n < 9 else 2)
+    return n > 3 and apart(a, b, 1 if n < 9 else 2) is not None
 
 
 def same_place(a: dict, b: dict) -> bool:
@@ -219,7 +219,7 @@ def same_place(a: dict, b: dict) -> bool:
     if a["zip"] and b["zip"]:
         if a["zip"] == b["zip"]:
             return cities is not False
-        return osa(a["zip"], b["zip"]) <= 1 and cities is not False
+        return within_one(a["zip"], b["zip"]) and cities is not False
     if cities is not None:
         return cities
     x, y = (a, b) if a["zip"] else (b, a)
@@ -327,7 +327,7 @@ def match_addresses(df: DataFrame, window: int = WINDOW) -> Locations:
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            a, b = (pdf[[f"{s}_{c}" for c in told]].set_axis(told, axis=1).to_dict("records") for s in "ab")
+            a, b = ([dict(zip(told, r)) for r in zip(*(pdf[f"{s}_{c}"] for c in told))] for s in "ab")
             out = pdf[["rep_a", "rep_b"]].assign(score=[same_location(x, y) for x, y in zip(a, b)])
             yield out[out["score"] > 0]
 

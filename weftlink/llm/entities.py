@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftlink.llm.addresses import read_address
-from weftlink.llm.strings import alike, fold, given_alike, osa, suffix_of, words
+from weftlink.llm.strings import alike, apart, fold, given_alike, suffix_of, within_one, words
 from weftlink.session import cut, spread
 
 CHUNKS, RADIUS = 6, 4
@@ -223,12 +223,12 @@ def field_scores(a: dict, b: dict) -> list[float]:
     birth = None
     if a["dob"] and b["dob"]:
         x, y = a["dob"], b["dob"]
-        d = osa(x.replace("-", ""), y.replace("-", ""))
+        d = apart(x.replace("-", ""), y.replace("-", ""), 2)
         swap = x[:4] == y[:4] and x[5:7] == y[8:] and x[8:] == y[5:7]
         birth = 1.0 if d == 0 else 0.8 if swap or d == 1 or days_apart(x, y) <= CLOSE_DAYS else 0.35 if d == 2 else 0.0
     t = put(birth)
     pa, pb = a["phones"].split(), b["phones"].split()
-    phone = put(max(1.0 if x == y else 0.5 * (osa(x, y) <= 1) for x in pa for y in pb) if pa and pb else None)
+    phone = put(max(1.0 if x == y else 0.5 * within_one(x, y) for x in pa for y in pb) if pa and pb else None)
     ea, eb = a["emails"].split(), b["emails"].split()
     email = put(max(1.0 if x == y else max(0.0, dice(word_vector(x.split("@")[0]), word_vector(y.split("@")[0])) - 0.4) for x in ea for y in eb) if ea and eb else None)
     street = None
@@ -236,7 +236,7 @@ def field_scores(a: dict, b: dict) -> list[float]:
         (ka, ha, sa, ua), (kb, hb, sb, ub) = a["street"].split("|"), b["street"].split("|")
         street = (1.0 if ua == ub else 0.7) if ka == kb and ha == hb and (sa == sb or alike(sa, sb)) else 0.2 if sa and sa == sb else 0.0
     s = put(street)
-    put((1.0 if a["place"] == b["place"] else 0.6 * (osa(a["place"], b["place"]) <= 1)) if a["place"] and b["place"] else None)
+    put((1.0 if a["place"] == b["place"] else 0.6 * within_one(a["place"], b["place"])) if a["place"] and b["place"] else None)
     put(dice(word_vector(a["maiden"]), word_vector(b["maiden"])) if a["maiden"] and b["maiden"] else None, 0.5)
     put(float(a["suffix"] == b["suffix"]) if a["suffix"] and b["suffix"] else None)
     contact = max(phone, email, s)
@@ -249,7 +249,7 @@ def number_evidence(a: str, b: str) -> int:
         return 0
     if a[0] == "X" or b[0] == "X":
         return 1 if a[-4:] == b[-4:] else -1
-    return 2 if a == b else 0 if osa(a, b) <= 1 else -1
+    return 2 if a == b else 0 if within_one(a, b) else -1
 
 
 def calibrate(x: np.ndarray, y: np.ndarray, start: np.ndarray, steps: int = 60, ridge: float = 1.0) -> np.ndarray:
@@ -342,7 +342,7 @@ def match_entities(left: DataFrame, right: DataFrame, left_key: str, right_key:
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            sides = [pdf[[f"{s}_{c}" for c in ATTRIBUTES]].set_axis(ATTRIBUTES, axis=1).to_dict("records") for s in "ab"]
+            sides = [[dict(zip(ATTRIBUTES, r)) for r in zip(*(pdf[f"{s}_{c}"] for c in ATTRIBUTES))] for s in "ab"]
             scores = [np.array(field_scores(p, q), dtype=np.float32) for p, q in zip(*sides)]
             if len(pdf):
                 yield pd.DataFrame({"left": pdf["x"], "right": pdf["y"], "number": np.array([number_evidence(p["ssn"], q["ssn"]) for p, q in zip(*sides)], dtype=np.int32), "f": scores})

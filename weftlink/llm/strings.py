@@ -36,6 +36,32 @@ def osa(a: str, b: str) -> int:
     return now[-1]
 
 
+def within_one(a: str, b: str) -> bool:
+    """``osa`` of at most 1, without the table: past the first difference the rests are equal after one edit."""
+    if a == b:
+        return True
+    if len(a) > len(b):
+        a, b = b, a
+    if len(b) - len(a) > 1:
+        return False
+    i = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
+    if len(a) < len(b):
+        return a[i:] == b[i + 1 :]
+    return a[i + 1 :] == b[i + 1 :] or (a[i : i + 2] == b[i : i + 2][::-1] and a[i + 2 :] == b[i + 2 :])
+
+
+def apart(a: str, b: str, most: int) -> int | None:
+    """``osa`` if it is at most ``most``, else None. An edit takes one letter away at most, so words with more letters of their own are
+    told apart without the table."""
+    if abs(len(a) - len(b)) > most:
+        return None
+    x, y = set(a), set(b)
+    if len(x - y) > most or len(y - x) > most:
+        return None
+    d = osa(a, b)
+    return d if d <= most else None
+
+
 def slips(n: int) -> int:
     """How many edits two words may lie apart of which the longer has n letters."""
     return 0 if n < 3 else 1 if n < 6 else 2 if n < 10 else 3
@@ -47,11 +73,8 @@ def alike(a: str, b: str) -> float:
     if a == b:
         return 1.0
     n = max(len(a), len(b))
-    allowed = slips(n)
-    if abs(len(a) - len(b)) > allowed or n < 3:
-        return 0.0
-    d = osa(a, b)
-    return 1.0 - d / n if d <= allowed else 0.0
+    d = apart(a, b, slips(n)) if n > 2 else None
+    return 1.0 - d / n if d is not None else 0.0
 
 
 @lru_cache(1 << 18)
@@ -74,7 +97,7 @@ def given_alike(a: str, b: str) -> float:
             return 0.9 if d == 1 else 0.8
     for short, forms in ((a, fb), (b, fa)):
         for f in forms:
-            if len(short) >= 4 and osa(short, f) <= 1:
+            if len(short) >= 4 and within_one(short, f):
                 return 0.8
     return 0.0
 
