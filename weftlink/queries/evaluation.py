@@ -315,14 +315,24 @@ def gate_check(spark: SparkSession, d: str) -> DataFrame:
     return audit.gate(metrics, limits)
 
 
-@query()
+#: Households in SQL: places in the order, drawn sizes, where a household begins, who is its anchor.
+_HOMES = f"""placed AS (SELECT id, 2017-CAST(substr(dob,1,4) AS INT) AS age, row_number() OVER (ORDER BY family, {S.digest('0', 'home', '@id')}, id)-1 AS r FROM k),
+slot AS (SELECT id, age, r//60 AS b, r%60 AS i FROM placed),
+drawn AS (SELECT *, {S.uniform('0', 'size', '@b', '@i')} AS u FROM slot),
+sized AS (SELECT *, CASE WHEN u<0.29 THEN 1 WHEN u<0.5902523115118887 THEN 2 WHEN u<0.7746128612346456 THEN 3 WHEN u<0.8878136959690395 THEN 4 WHEN u<0.9573211312844258 THEN 5 ELSE 6 END AS size FROM drawn),
+begun AS (SELECT b, coalesce(sum(size) OVER (PARTITION BY b ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),0) AS start FROM sized),
+housed AS (SELECT id, age, CAST(b AS VARCHAR)||'-'||CAST((SELECT count(*) FROM begun g WHERE g.b=s.b AND g.start<60 AND g.start<=s.i) AS VARCHAR) AS household FROM sized s),
+homes AS (SELECT *, first_value(id) OVER w AS anchor, first_value(age) OVER w AS anchor_age FROM housed WINDOW w AS (PARTITION BY household ORDER BY age DESC, id DESC))"""
+
+
+@query(S.with_people("SELECT size, count(*) AS households, sum(minors)::BIGINT AS minors_with_parent FROM (SELECT household, count(*) AS size, count(*) FILTER (WHERE age<18 AND anchor_age-age BETWEEN 18 AND 50) AS minors FROM homes GROUP BY household) GROUP BY size", False, _HOMES))
 def household_report(spark: SparkSession, d: str) -> DataFrame:
     homes = households.assign(people(persona(spark, d)))
     sizes = homes.groupBy("household").agg(F.count("*").alias("size"), F.count_if("minor_with_parent").alias("minors"))
     return sizes.groupBy("size").agg(F.count("*").alias("households"), F.sum("minors").alias("minors_with_parent"))
 
 
-@query()
+@query(S.with_people(f"SELECT id, household, anchor AS address_of, CASE WHEN id<>anchor AND {S.uniform('0', 'household_phone', '@id')}<0.5 THEN anchor ELSE id END AS phone_of, CASE WHEN id<>anchor AND {S.uniform('0', 'household_email', '@id')}<0.5 THEN anchor ELSE id END AS email_of, age<18 AND {S.uniform('0', 'minor_ssn_absent', '@id')}<0.7 AS drop_ssn FROM homes", False, _HOMES))
 def household_members(spark: SparkSession, d: str) -> DataFrame:
     k = people(persona(spark, d))
     return households.shared_contacts(k, households.assign(k))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from weftlink.functions.guard import a, b
 from weftlink.model import key_columns
 from weftlink.operators import mine
+from weftlink.queries.sqlx import NICK
 from weftlink.session import table
 
 QUERIES: dict = {}
@@ -106,7 +107,12 @@ def register_family_places(spark: SparkSession, d: str) -> DataFrame:
     return k.groupBy(F.col("upper_family").alias("family"), "zip").agg(F.count("*").alias("n"), F.count_if(year.isNotNull() & (F.lit(2017) - year < 18)).alias("minors")).where("n > 1")
 
 
-@query()
+_VARIANT = f"(a.first<>'' AND b.first<>'' AND (starts_with(a.first,b.first) OR starts_with(b.first,a.first) OR a.first||'|'||b.first IN {NICK}))"
+_DUP = f"""({_NEAR_SSN} OR ({_CLOSE} AND (list_has_any(a.phones,b.phones) OR (a.first=b.first AND a.first<>'' AND a.dob=b.dob) OR (a.family=b.family AND a.family<>'' AND a.dob=b.dob AND {_VARIANT})
+ OR (a.first<>'' AND b.first<>'' AND a.family<>'' AND b.family<>'' AND levenshtein(a.first||' '||a.family,b.first||' '||b.family)<=1))))"""
+
+
+@query(_KEYS + f" SELECT a.id AS id_a, b.id AS id_b FROM k a JOIN k b ON a.id<b.id AND a.zip=b.zip AND a.zip<>'' AND a.upper_family=b.upper_family AND a.upper_family<>'' AND a.dob<>'' AND b.dob<>'' AND a.first<>b.first AND abs(a.yr-b.yr)<=3 AND NOT ({_SAME} OR {_DUP})")
 def register_siblings(spark: SparkSession, d: str) -> DataFrame:
     return _ids(mine.siblings(_people(spark, d)))
 
@@ -118,7 +124,7 @@ def register_near_misses(spark: SparkSession, d: str) -> DataFrame:
     return mine.near_misses(k.where("id % 100 = 0"), k).select(a("id").alias("qid"), b("id").alias("rid"), "kind", "rank", "seen")
 
 
-@query()
+@query(_KEYS + f" SELECT a.id AS id_a, b.id AS id_b FROM k a JOIN k b ON a.id<b.id AND {_DUP}")
 def register_duplicates(spark: SparkSession, d: str) -> DataFrame:
     k = _people(spark, d)
     return mine.duplicate_ids(k, k).where("probe_id < id").select(F.col("probe_id").alias("id_a"), F.col("id").alias("id_b"))

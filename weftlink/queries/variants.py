@@ -87,7 +87,12 @@ def mut_abbreviate(spark: SparkSession, d: str) -> DataFrame:
     return _one(spark, d, mutate.abbreviate(F.col("given")))
 
 
-@query()
+_SHORT = """CASE lower(given) WHEN 'william' THEN ['Bill','Billy','Liam','Will','Willie'] WHEN 'katherine' THEN ['Kate','Kathy','Katie','Kit','Kitty'] WHEN 'robert' THEN ['Bob','Bobby','Rob','Robbie']
+ WHEN 'john' THEN ['Jack','Johnny'] WHEN 'christopher' THEN ['Chris','Kit','Topher'] WHEN 'david' THEN ['Dave','Davy'] WHEN 'elizabeth' THEN ['Beth','Betty','Eliza','Libby','Liz','Lizzie'] WHEN 'samuel' THEN ['Sam','Sammy'] END"""
+_BIG = "CAST(('0x'||substr({},1,8)) AS BIGINT)"
+
+
+@query(S.with_persona(f"SELECT pid, coalesce(forms[{_BIG.format(S.digest('0', 'nickname', '@pid'))}%len(forms)+1], given) AS variant FROM (SELECT pid, given, {_SHORT} AS forms FROM persona)"))
 def mut_nickname(spark: SparkSession, d: str) -> DataFrame:
     return _one(spark, d, mutate.nickname(F.col("given"), F.col("pid")))
 
@@ -97,7 +102,7 @@ def var_punctuation(spark: SparkSession, d: str) -> DataFrame:
     return _one(spark, d, mutate.punctuation(F.col("given"), F.col("pid")))
 
 
-@query()
+@query(S.with_persona(f"SELECT pid, CASE WHEN len(spots)=0 THEN given ELSE substr(given,1,p-1)||translate(lower(substr(given,p,1)),'aeiounc','áéíóúñç')||substr(given,p+1) END AS variant FROM (SELECT *, coalesce(spots[{_BIG.format(S.digest('0', 'diacritic', '@pid'))}%greatest(len(spots),1)+1],1) AS p FROM (SELECT pid, given, list_filter(list_transform(range(1,length(given)+1), lambda i: CAST(i AS INT)), lambda i: lower(substr(given,i,1)) IN ('a','e','i','o','u','n','c')) AS spots FROM persona))"))
 def var_diacritic(spark: SparkSession, d: str) -> DataFrame:
     return _one(spark, d, mutate.diacritic(F.col("given"), F.col("pid")))
 
