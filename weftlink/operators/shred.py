@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftlink.session import spread
+from weftlink.session import ship, spread
 
 #: Members of a person that are shredded.
 ROOTS = ("name", "identifier", "address", "extension")
@@ -196,6 +196,7 @@ def shred_records(df: DataFrame, record_id: str = "record_id", payload: str = "p
 
     Null, cut off or non-object payloads have no nodes; repeated deliveries of a key are read once (``latest``); vacant elements
     are no nodes but keep their index; a null record_id is kept as a key. Columns other than the two named are ignored."""
+    ship(df.sparkSession)
     schema = "record_id long, patient_pos int, node_path string, parent_path string, node_table string" + (", members map<string,string>" if values else "")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -338,7 +338,13 @@ def household_members(spark: SparkSession, d: str) -> DataFrame:
     return households.shared_contacts(k, households.assign(k))
 
 
-@query()
+_ADULTS = f"""aged AS (SELECT id, family, 2017-CAST(substr(dob,1,4) AS INT) AS age FROM k), s AS (SELECT * FROM aged WHERE id%100=1),
+needed AS (SELECT DISTINCT family, age FROM s x WHERE age<18 AND NOT EXISTS (SELECT 1 FROM s y WHERE y.family=x.family AND y.age>=18 AND y.age-x.age BETWEEN 18 AND 50)),
+found AS (SELECT f.id, f.family, f.age, count(*) AS covers FROM aged f JOIN needed n ON n.family=f.family AND f.age-n.age BETWEEN 18 AND 50 WHERE f.age>=18 AND f.id%100<>1 GROUP BY f.id, f.family, f.age)"""
+
+
+@query(S.with_people(f"SELECT * FROM (SELECT id, family, age, covers, row_number() OVER (PARTITION BY family ORDER BY {S.digest('0', 'adult', '@id')}, id) AS rank FROM found) WHERE rank<=5", False, _ADULTS))
 def family_adults(spark: SparkSession, d: str) -> DataFrame:
+    """Adults for the minors of a sample of people (every hundredth) who have none of their name in it."""
     k = people(persona(spark, d))
-    return households.family_adults(k.where("id % 3 = 1"), k)
+    return households.family_adults(k.where("id % 100 = 1"), k)

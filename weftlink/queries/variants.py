@@ -222,6 +222,16 @@ def conformance(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("violation").agg(F.count("*").alias("n"))
 
 
+@query()
+def conformance_raw(spark: SparkSession, d: str) -> DataFrame:
+    """Structural problems of the persons that raw payloads hold as they stand."""
+    from weftlink.model import PERSON
+    from weftlink.session import table
+
+    rows = table(spark, d, "raw_records").select(F.from_json("payload", PERSON).alias("p")).where("p.name is not null or p.telecom is not null or p.identifier is not null")
+    return rows.select(F.explode(violations(F.col("p"))).alias("violation")).groupBy("violation").agg(F.count("*").alias("n"))
+
+
 @query("""SELECT internal_id, nullif(target.gender,'') AS gender, nullif(target.birthDate,'') AS dob, len(list_filter(target.telecom, lambda t: coalesce(t.system,'')<>'' OR coalesce(t.value,'')<>'' OR t.rank IS NOT NULL)) AS n_telecom,
  nullif(target.address[1].city,'') AS city FROM internal_records""")
 def export_ready_people(spark: SparkSession, d: str) -> DataFrame:

@@ -49,6 +49,7 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 def cut(df: DataFrame) -> DataFrame:
     """Write the rows once to the shared checkpoint folder and go on from there, so that a lost executor costs no recomputation
     of what lies before and rows that depend on a physical order keep it."""
+    ship(df.sparkSession)
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
@@ -62,6 +63,7 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Deal the rows (or whole keys) out to ``tasks`` partitions that adaptive execution doesn't merge again: small bytes can
     stand for much work where Python does it. A later aggregation on ``keys`` needs no further shuffle. A single table that
     fills that many file splits anyway isn't shuffled without keys, and with keys gets one partition per split size."""
+    ship(df.sparkSession)  # Python comes next
     n, plan = tasks(df.sparkSession), df._jdf.queryExecution().optimizedPlan()
     leaves = plan.collectLeaves()
     if leaves.size() == 1 and leaves.apply(0).nodeName() == "LogicalRelation":  # elsewhere sizes are only guessed
