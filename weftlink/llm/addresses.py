@@ -302,10 +302,11 @@ def match_addresses(df: DataFrame, window: int = WINDOW) -> Locations:
     strict = ["shard", "kind", "number", "unit"]
     same = reduce(lambda x, y: x & y, [F.col(f"a.{c}") == F.col(f"b.{c}") for c in strict])
     slim = reps.select("rep", *strict, "name", "city", "zip")
-    met = reduce(DataFrame.unionByName, [sorted_pairs(slim, order, window, same, ["rep", *strict]).select(F.col("a.rep").alias("x"), F.col("b.rep").alias("y")) for order in orders])
-
     large = slim.groupBy("shard", "number", "unit").agg(F.count("*").alias("n")).where(F.col("n") > window).drop("n")
-    hot = reps.join(large, ["shard", "number", "unit"]).select("rep", *strict, "name", "city", "zip", "cities")
+    hot = cut(reps.join(large, ["shard", "number", "unit"]).select("rep", *strict, "name", "city", "zip", "cities"))
+    # in the first order a group that fits the window has met in full: the others see the groups that don't
+    passes = [(slim, orders[0]), *((hot, order) for order in orders[1:])]
+    met = reduce(DataFrame.unionByName, [sorted_pairs(rows_, order, window, same, ["rep", *strict]).select(F.col("a.rep").alias("x"), F.col("b.rep").alias("y")) for rows_, order in passes])
 
     def keys(grams):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
