@@ -123,9 +123,11 @@ def mcnemar(spark: SparkSession, d: str) -> DataFrame:
 _ZA, _ZB = "1.959963984540054", "0.8416212335729143"
 
 
-@query(f"SELECT p0, delta, CAST(ceil(pow({_ZA}*sqrt(2*(p0+delta/2)*(1-p0-delta/2))+{_ZB}*sqrt(p0*(1-p0)+(p0+delta)*(1-p0-delta)),2)/pow(delta,2)) AS BIGINT) AS rows_per_arm FROM (VALUES (CAST(0.9 AS DOUBLE),CAST(0.02 AS DOUBLE)),(0.9,0.03),(0.9,0.05),(0.6,0.02),(0.6,0.1)) t(p0,delta)")
+@query(S.with_persona(f"SELECT gender, p0, CAST(ceil(pow({_ZA}*sqrt(2*((p0+p1)/2)*(1-(p0+p1)/2))+{_ZB}*sqrt(p0*(1-p0)+p1*(1-p1)),2)/pow(0.02,2)) AS BIGINT) AS rows_per_arm FROM (SELECT gender, p0, least(greatest(p0+0.02,1e-6),1-1e-6) AS p1 FROM (SELECT gender, round(avg(CASE WHEN phone IS NULL THEN 0.0 ELSE 1.0 END)::DOUBLE,4) AS p0 FROM persona GROUP BY gender)) WHERE p0>0 AND p0<1"))
 def min_sample_size(spark: SparkSession, d: str) -> DataFrame:
-    return spark.createDataFrame([(p, x, evaluate.sample_size(p, x)) for p, x in ((0.9, 0.02), (0.9, 0.03), (0.9, 0.05), (0.6, 0.02), (0.6, 0.1))], "p0 double, delta double, rows_per_arm long")
+    """Rows per arm to see two points more people with a phone, by gender."""
+    rates = persona(spark, d).groupBy("gender").agg(F.round(F.avg(F.col("phone").isNotNull().cast("double")), 4).alias("p0")).collect()  # a row per gender
+    return spark.createDataFrame([(r["gender"], r["p0"], evaluate.sample_size(r["p0"], 0.02)) for r in rates if 0 < r["p0"] < 1], "gender string, p0 double, rows_per_arm long")
 
 
 _BAND = "CASE WHEN 2017-year(dob)<0 THEN NULL WHEN 2017-year(dob)<18 THEN '0-17' WHEN 2017-year(dob)<65 THEN '18-64' WHEN 2017-year(dob)<85 THEN '65-84' ELSE '85+' END"
@@ -151,9 +153,11 @@ def stratified_sample(spark: SparkSession, d: str) -> DataFrame:
     return sample.stratified(_banded(spark, d), 200, 100).select("id", "band", "rank", "role")
 
 
-@query("SELECT band, CAST(quota AS BIGINT) AS quota FROM (VALUES ('0-17',430),('18-64',1224),('65-84',307),('85+',39)) t(band,quota)")
+@query(S.with_persona("""SELECT band, CAST(base + CASE WHEN row_number() OVER (ORDER BY base-exact, band) <= n-sum(base) OVER () THEN 1 ELSE 0 END AS BIGINT) AS quota
+ FROM (SELECT band, n, n*share AS exact, floor(n*share) AS base FROM (SELECT count(*)//7 AS n FROM persona), (VALUES ('0-17',CAST(0.215 AS DOUBLE)),('18-64',0.612),('65-84',0.1535),('85+',0.0195)) t(band,share))"""))
 def band_quota(spark: SparkSession, d: str) -> DataFrame:
-    return spark.createDataFrame(list(sample.quotas(2000, sample.TARGETS).items()), "band string, quota long")
+    """Whole quotas of the age bands for a sample of a seventh of the people."""
+    return spark.createDataFrame(list(sample.quotas(persona(spark, d).count() // 7, sample.TARGETS).items()), "band string, quota long")
 
 
 @query(f"SELECT event_type, event_id, rank FROM (SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY {S.digest('0', '@event_id')}, event_id) AS rank FROM events) WHERE rank<=20")
@@ -235,10 +239,13 @@ def missing_categories(spark: SparkSession, d: str) -> DataFrame:
     return audit.missing_categories(_tier(spark, d))
 
 
-@query(S.with_people("""SELECT 'people_per_address' AS metric, round(avg(n),6) AS value FROM (SELECT count(*)::DOUBLE AS n FROM k GROUP BY street, zip)
+_POPULATION = """SELECT 'people_per_address' AS metric, round(avg(n),6) AS value FROM (SELECT count(*)::DOUBLE AS n FROM k GROUP BY street, zip)
  UNION ALL SELECT 'shared_phone_rate', round(avg(CASE WHEN n>1 THEN 1.0 ELSE 0.0 END)::DOUBLE,6) FROM (SELECT count(*) OVER (PARTITION BY phone) AS n FROM k WHERE phone IS NOT NULL)
  UNION ALL SELECT 'shared_email_rate', round(avg(CASE WHEN n>1 THEN 1.0 ELSE 0.0 END)::DOUBLE,6) FROM (SELECT count(*) OVER (PARTITION BY email) AS n FROM k WHERE email IS NOT NULL)
- UNION ALL SELECT 'minors_with_same_surname_adult_share', round(avg(CASE WHEN 2017-e>=18 THEN 1.0 ELSE 0.0 END)::DOUBLE,6) FROM (SELECT dob, min(CAST(substr(dob,1,4) AS INT)) OVER (PARTITION BY family, street_zip) AS e FROM k) WHERE 2017-CAST(substr(dob,1,4) AS INT)<18"""))
+ UNION ALL SELECT 'minors_with_same_surname_adult_share', round(avg(CASE WHEN 2017-e>=18 THEN 1.0 ELSE 0.0 END)::DOUBLE,6) FROM (SELECT dob, min(CAST(substr(dob,1,4) AS INT)) OVER (PARTITION BY family, street_zip) AS e FROM k) WHERE 2017-CAST(substr(dob,1,4) AS INT)<18"""
+
+
+@query(S.with_people(_POPULATION))
 def audit_population(spark: SparkSession, d: str) -> DataFrame:
     return audit.population_metrics(people(persona(spark, d)))
 
@@ -308,11 +315,15 @@ def pool_features(spark: SparkSession, d: str) -> DataFrame:
     return pairs.groupBy("category").agg(F.count("*").alias("n"), F.avg((~shared).cast("double")).alias("no_overlap_rate"))
 
 
-@query("SELECT metric, value, status, passed FROM (VALUES ('a_share',CAST(0.5 AS DOUBLE),'enforced',true),('b_rate',0.9,'enforced',false),('c_rate',0.1,'tracked',true),('gone',NULL,'enforced',false)) t(metric,value,status,passed)")
+_GATED = """SELECT t.metric, m.value, t.status, t.status='tracked' OR (m.value IS NOT NULL AND (t.lo IS NULL OR m.value>=t.lo) AND (t.hi IS NULL OR m.value<=t.hi)) AS passed
+ FROM (VALUES ('people_per_address',CAST(2.0 AS DOUBLE),CAST(NULL AS DOUBLE),'enforced'),('shared_phone_rate',0.4,0.9,'enforced'),('shared_email_rate',NULL,0.01,'tracked'),('minors_with_same_surname_adult_share',0.7,NULL,'enforced'),('gone',0.0,NULL,'enforced')) t(metric,lo,hi,status) LEFT JOIN m ON m.metric=t.metric"""
+
+
+@query(S.with_people(_GATED, False, f"m AS ({_POPULATION})"))
 def gate_check(spark: SparkSession, d: str) -> DataFrame:
-    metrics = spark.createDataFrame([("a_share", 0.5), ("b_rate", 0.9), ("c_rate", 0.1)], "metric string, value double")
-    limits = {"a_share": {"min": 0.4, "max": 0.6, "status": "enforced"}, "b_rate": {"max": 0.8, "status": "enforced"}, "c_rate": {"status": "tracked"}, "gone": {"min": 0, "status": "enforced"}}
-    return audit.gate(metrics, limits)
+    """The population's metrics against thresholds, one of them for a metric that nobody measures."""
+    limits = {"people_per_address": {"min": 2.0, "status": "enforced"}, "shared_phone_rate": {"min": 0.4, "max": 0.9, "status": "enforced"}, "shared_email_rate": {"max": 0.01, "status": "tracked"}, "minors_with_same_surname_adult_share": {"min": 0.7, "status": "enforced"}, "gone": {"min": 0, "status": "enforced"}}
+    return audit.gate(audit.population_metrics(people(persona(spark, d))), limits)
 
 
 #: Households in SQL: places in the order, drawn sizes, where a household begins, who is its anchor.
