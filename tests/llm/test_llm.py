@@ -262,6 +262,17 @@ def test_search_loses_no_likely_pair(spark):
     assert len(likely) > 80 and len(likely & met) >= 0.98 * len(likely)
 
 
+def test_a_contact_of_everybody_is_no_join_of_all(spark):
+    rng = random.Random(13)
+    families = ["Smithson", "Uleskiathoux", "Bova", "Marystiberg", "Ng", "Okafor", "Jumboubiski", "Quigirard"]
+    givens = ["Katherine", "Robert", "Ann", "Giorgos", "Zebedee", "Wanjiru", "Ludmila", "Odalys", "Hyacinth", "Matthias"]
+    people = [(rng.choice(families), rng.choice(givens), f"19{rng.randrange(40, 99)}-0{rng.randrange(1, 9)}-1{rng.randrange(9)}", "2125550100") for _ in range(150)]
+    frame = lambda rows, k, p: spark.createDataFrame(rows, f"{k} long, shard int, j string").select(k, "shard", F.from_json("j", PERSON).alias(p))
+    rows = [(i, 0, person(*p)) for i, p in enumerate(people)]
+    met = {(x.left, x.right) for x in entities.match_entities(frame(rows, "l", "s"), frame([(i, s, person(f, g[0], "", ph)) for (i, s, _), (f, g, _, ph) in zip(rows, people)], "r", "t"), "l", "r", "s", "t").pairs.collect()}
+    assert {(i, i) for i in range(150)} <= met and len(met) < 0.45 * 150 * 150
+
+
 def defaults(p):
     return {"address": None, "identifier": None, "extension": None, **p, "name": [{"suffix": None, "text": None, **n} for n in p["name"]]}
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftlink.llm.addresses import read_address
-from weftlink.llm.strings import alike, apart, fold, given_alike, suffix_of, within_one, words
+from weftlink.llm.strings import FORMAL, alike, apart, fold, given_alike, suffix_of, within_one, words
 from weftlink.session import cut, spread
 
 CHUNKS, RADIUS = 6, 4
@@ -185,10 +185,15 @@ def search_keys(shard: int, r: dict[str, str]) -> Iterator[tuple[str, int]]:
             v |= word_vector(w)
         for k in filed(v):
             yield f"{shard}n{k}", v
-    for tag, field in (("p", "phones"), ("e", "emails"), ("s", "ssn"), ("a", "street")):
+    # a number is enough; a contact or a home may be a third of all people's and needs a part of a name or the date beside it
+    if r["ssn"] and r["ssn"][0] != "X":
+        yield f"{shard}s{r['ssn']}", 0
+    named = {*fam, *giv, *r["nick"].split(), *r["maiden"].split()}
+    beside = {p for w in named for f in (w, *FORMAL.get(w, ())) for p in (f"<{f[:3]}", f">{f[-3:]}")} | {f"'{w[0]}" for w in giv[:1]} | ({r["dob"]} if r["dob"] else set()) | ({"-"} if not named else set())
+    for tag, field in (("p", "phones"), ("e", "emails"), ("a", "street")):
         for x in r[field].split():
-            if x[0] != "X":
-                yield f"{shard}{tag}{x}", 0
+            for y in beside:
+                yield f"{shard}{tag}{x}|{y}", 0
 
 
 #: The scored fields.
