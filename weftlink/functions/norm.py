@@ -79,7 +79,7 @@ def within(a: Column, b: Column, k: int) -> Column:
 
 def swapped_month_day(a: Column, b: Column) -> Column:
     iso = r"^.{4}-.{2}-.{2}$"
-    return F.coalesce(a.rlike(iso) & b.rlike(iso) & (F.substring(a, 1, 4) == F.substring(b, 1, 4)) & (F.substring(a, 6, 2) == F.substring(b, 9, 2)) & (F.substring(a, 9, 2) == F.substring(b, 6, 2)), F.lit(False))
+    return F.coalesce((F.substring(a, 1, 4) == F.substring(b, 1, 4)) & (F.substring(a, 6, 2) == F.substring(b, 9, 2)) & (F.substring(a, 9, 2) == F.substring(b, 6, 2)) & a.rlike(iso) & b.rlike(iso), F.lit(False))
 
 
 def dates_close(a: Column, b: Column) -> Column:

@@ -167,20 +167,88 @@ def search_keys(df: DataFrame) -> DataFrame:
     return df.select("id", F.explode(key_list()).alias("key"))
 
 
+#: What two people have in common that meet, by the kinds of near misses that surely have it: a pair counts at its kind's meeting only,
+#: so that it is told once without a list of all pairs.
+MEETINGS = {"birth and family": 0, "birth and place": 1, "name": 2, "family and place": 3, "address": 4, "phone": 5, "email": 6, "birth": 7}
+#: The columns that guards and kinds read.
+_READ = ("id", "first", "family", "dob", "ssn", "phones", "emails", "nzip", "street_zip", "tokens")
+#: Borders of the hash at which near misses are counted, falling, each a quarter of the one before.
+_BORDERS = ("4", "1", "04", "01", "004", "001", "0004", "0001")
+
+
+def _full_name() -> Column:
+    return F.when((F.col("first") != "") & (F.col("family") != ""), F.concat_ws(" ", "first", "family"))
+
+
+def meeting_keys(names: Column) -> Column:
+    """(t, k): the meetings of a person and the values under which they meet there; ``names`` are full names, the person's own or those like it."""
+    empty = F.array().cast("array<string>")
+    c = F.col
+    tag = lambda *cols: F.when(reduce(lambda x, y: x & y, [x != "" for x in cols]), F.array(F.concat_ws("|", *cols))).otherwise(empty)
+    values = [tag(c("family"), c("dob")), tag(c("dob"), c("nzip")), F.coalesce(names, empty), tag(c("family"), c("nzip")), tag(c("street_zip")), c("phones"), c("emails"), tag(c("dob"))]
+    keys = lambda t, v: F.transform(v, lambda x: F.struct(F.lit(t).alias("t"), x.alias("k")))
+    return F.concat(*[keys(t, v) for t, v in zip(MEETINGS.values(), values)])
+
+
+def near_names(queries: DataFrame, records: DataFrame) -> DataFrame:
+    """(name, names): each full name of the queries with those of the records at most one edit away. Distinct names meet on deletion keys."""
+    keys = lambda df, n: df.select(_full_name().alias(n)).where(F.col(n).isNotNull()).distinct().select(n, F.explode(N.near_keys(F.col(n))).alias("key"))
+    met = keys(queries, "name").join(keys(records, "near"), "key").where(N.within(F.col("name"), F.col("near"), 1))
+    return met.groupBy("name").agg(F.collect_set("near").alias("names"))
+
+
+def _told(queries: DataFrame, records: DataFrame, *more: str) -> DataFrame:
+    """(a_*, b_*, kind) of all near misses, each once, with further columns of the queries. Shuffled are people with their keys, never pairs:
+    what a pair is follows from the two rows where they meet. The tests of a meeting are those of ``G.near_miss_kind`` that are open there."""
+    asked = queries.select(*_READ, *more).withColumn("_name", _full_name()).join(near_names(queries, records).withColumnRenamed("name", "_name"), "_name", "left")
+    x = side(asked.select(*_READ, *more, F.inline(meeting_keys(F.col("names")))), "a")
+    y = side(records.select(*_READ, F.inline(meeting_keys(F.array_compact(F.array(_full_name()))))), "b")
+    at = lambda m: a("t") == MEETINGS[m]
+    other_family, other_first = a("family") != b("family"), a("first") != b("first")
+    place = G.both("dob") & G.both("nzip")
+    named = G.yes((a("dob") != b("dob")) & (a("nzip") != b("nzip")))
+    named_alike = named & N.within(G.full_name("a"), G.full_name("b"), 1)
+    once = lambda c: (F.size(a(c)) == 1) | (F.size(b(c)) == 1) | (a("k") == F.array_min(F.array_intersect(a(c), b(c))))
+    fits = (
+        F.when(at("birth and place"), other_family)
+        .when(at("name"), named)
+        .when(at("family and place"), other_first & ~G.twins())
+        .when(at("address"), other_family & ~place)
+        .when(at("phone"), other_family & ~place & ~G.both("street_zip") & once("phones") & ~named_alike)
+        .when(at("email"), other_family & ~place & ~G.both("street_zip") & ~G.overlap("phones") & once("emails") & ~named_alike)
+        .otherwise(other_family & other_first & ~G.both("nzip") & ~G.overlap("phones") & ~G.overlap("emails"))
+    )
+    met = x.join(y, (a("t") == b("t")) & (a("k") == b("k")) & (a("id") != b("id"))).where(F.when(at("birth and family"), G.twins()).otherwise(fits & ~G.looks_same()))
+    named_kinds = {"birth and family": "twin", "birth and place": "dob_zip", "name": "name", "address": "address", "phone": "phone", "email": "email", "birth": "dob_only"}
+    kind = F.when(at("family and place"), F.when(G.yes(G.year_gap() <= 3), "sibling").otherwise("surname_zip"))
+    for m, k in named_kinds.items():
+        kind = kind.when(at(m), k)
+    return met.withColumn("kind", kind)
+
+
+def near_miss_counts(queries: DataFrame, records: DataFrame) -> DataFrame:
+    """(a_id, kind, seen): how many people of ``records`` are near misses of a query, by kind. Pairs are counted where they meet."""
+    return _told(queries, records).groupBy("a_id", "kind").agg(F.count("*").alias("seen"))
+
+
 def near_misses(queries: DataFrame, records: DataFrame, cap: int = 10, seed: int = 0) -> DataFrame:
-    """People of ``records`` who look like a query but are somebody else: (a_*, b_*, kind, seen, rank). Keys of the small query side meet
-    those of the records; how they meet (broadcast or shuffled) is left to the planner, which knows the sizes. Kept are the first
-    ``cap`` of a query and kind in hash order; ``seen`` counts all."""
-    q = search_keys(queries).withColumnRenamed("id", "qid")
-    r = search_keys(records).withColumnRenamed("id", "rid")
-    met = q.join(r, "key").where("qid <> rid").select("qid", "rid").distinct()
-    pairs = met.join(side(queries, "a"), F.col("qid") == a("id")).join(side(records, "b"), F.col("rid") == b("id")).drop("qid", "rid")
-    # written once: counted and ranked below
-    told = cut(pairs.where(G.twins() | ~G.looks_same()).withColumn("kind", G.near_miss_kind()).where("kind is not null"))
-    seen = told.groupBy(a("id").alias("sid"), F.col("kind").alias("skind")).agg(F.count("*").alias("seen"))
-    slot = Window.partitionBy("a_id", "kind").orderBy(N.digest(seed, "near_miss", a("id"), b("id")), b("id"))
-    kept = told.withColumn("rank", F.row_number().over(slot)).where(F.col("rank") <= cap)
-    return kept.join(seen, (a("id") == F.col("sid")) & (F.col("kind") == F.col("skind"))).drop("sid", "skind")
+    """People of ``records`` who look like a query but are somebody else: (a_id, b_id, kind, seen, rank). Kept are the first ``cap`` of a query and
+    kind in hash order; ``seen`` counts all. Pairs are counted first, in all and below some borders of the hash; then they meet again and
+    only those below the lowest border that leaves ``cap`` of them are ranked. No pair beyond is shuffled or written."""
+    h = N.digest(seed, "near_miss", a("id"), b("id"))
+    below = [F.count_if(F.col("_h") < x).alias(f"_n{i}") for i, x in enumerate(_BORDERS)]
+    counts = _told(queries, records).select("a_id", "kind", h.alias("_h")).groupBy("a_id", "kind").agg(F.count("*").alias("seen"), *below)
+    border = F.lit("g")  # above all hex digits
+    for i, x in enumerate(_BORDERS):
+        border = F.when(F.col(f"_n{i}") >= cap, x).otherwise(border)
+    counts = counts.select("a_id", "kind", "seen", border.alias("border"))
+    counts = cut(counts.groupBy("a_id").agg(F.map_from_entries(F.collect_list(F.struct("kind", F.struct("border", "seen")))).alias("told")))
+    asked = queries.join(counts, F.col("id") == F.col("a_id")).drop("a_id")
+    told = F.try_element_at(a("told"), F.col("kind"))
+    kept = _told(asked, records, "told").where(h < told["border"]).select("a_id", "b_id", "kind", told["seen"].alias("seen"))
+    slot = Window.partitionBy("a_id", "kind").orderBy(h, b("id"))
+    # dealt out before the hash is made: 32 characters a pair needn't travel
+    return kept.repartition("a_id").withColumn("rank", F.row_number().over(slot)).where(F.col("rank") <= cap)
 
 
 def same_person_ids(probe: DataFrame, known: DataFrame) -> DataFrame:
