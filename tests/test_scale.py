@@ -39,3 +39,17 @@ def test_near_misses_by_meeting_equal_all_pairs(spark, monkeypatch):
         want = [(g[0], b, g[1], i + 1, len(v)) for g, v in groups.items() for i, b in enumerate(sorted(v, key=lambda b: (hashlib.md5(f"0:near_miss:{g[0]}:{b}".encode()).hexdigest(), b))[:cap])]
         assert Counter(tuple(r) for r in mine.near_misses(q, k, cap).select("a_id", "b_id", "kind", "rank", "seen").collect()) == Counter(want)
     assert max(written) <= q.count() < sum(map(len, groups.values()))  # never the pairs
+
+
+def joins(df):
+    """The physical joins of a plan before it runs."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return {j for j in ("BroadcastHashJoin", "BroadcastNestedLoopJoin", "SortMergeJoin", "ShuffledHashJoin") if j in plan}
+
+
+def test_register_people_are_never_broadcast(spark):
+    """The register's people are guessed at a fraction of their size; the planner's threshold is met by the guess."""
+    from weftlink.queries import registers
+
+    assert joins(registers.register_duplicates(spark, "/root/testdata/sf0.001")) == {"SortMergeJoin"}
+    assert joins(registers.register_keys(spark, "/root/testdata/sf0.001")) == set()

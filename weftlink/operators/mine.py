@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from weftlink.functions import guard as G
 from weftlink.functions import norm as N
 from weftlink.functions.guard import a, b, side
-from weftlink.session import cut
+from weftlink.session import by_sort, cut
 
 
 def blocked(df: DataFrame, keys: list[str], keep: Column, order: str = "ord") -> DataFrame:
@@ -18,7 +18,7 @@ def blocked(df: DataFrame, keys: list[str], keep: Column, order: str = "ord") ->
     join is by hash or sort; blocks that hold much of the table are split by adaptive execution."""
     present = df.where(reduce(lambda x, y: x & y, [F.col(k).isNotNull() & (F.col(k) != "") for k in keys]))
     on = reduce(lambda x, y: x & y, [a(k) == b(k) for k in keys])
-    return side(present, "a").join(side(present, "b"), on & (a(order) < b(order)) & (a("id") != b("id"))).where(keep)
+    return side(present, "a").join(by_sort(side(present, "b")), on & (a(order) < b(order)) & (a("id") != b("id"))).where(keep)
 
 
 def shared_birth_and_zip(df: DataFrame) -> DataFrame:
@@ -193,14 +193,14 @@ def meeting_keys(names: Column) -> Column:
 def near_names(queries: DataFrame, records: DataFrame) -> DataFrame:
     """(name, names): each full name of the queries with those of the records at most one edit away. Distinct names meet on deletion keys."""
     keys = lambda df, n: df.select(_full_name().alias(n)).where(F.col(n).isNotNull()).distinct().select(n, F.explode(N.near_keys(F.col(n))).alias("key"))
-    met = keys(queries, "name").join(keys(records, "near"), "key").where(N.within(F.col("name"), F.col("near"), 1))
+    met = keys(queries, "name").join(by_sort(keys(records, "near")), "key").where(N.within(F.col("name"), F.col("near"), 1))
     return met.groupBy("name").agg(F.collect_set("near").alias("names"))
 
 
 def _told(queries: DataFrame, records: DataFrame, *more: str) -> DataFrame:
     """(a_*, b_*, kind) of all near misses, each once, with further columns of the queries. Shuffled are people with their keys, never pairs:
     what a pair is follows from the two rows where they meet. The tests of a meeting are those of ``G.near_miss_kind`` that are open there."""
-    asked = queries.select(*_READ, *more).withColumn("_name", _full_name()).join(near_names(queries, records).withColumnRenamed("name", "_name"), "_name", "left")
+    asked = queries.select(*_READ, *more).withColumn("_name", _full_name()).join(by_sort(near_names(queries, records).withColumnRenamed("name", "_name")), "_name", "left")
     x = side(asked.select(*_READ, *more, F.inline(meeting_keys(F.col("names")))), "a")
     y = side(records.select(*_READ, F.inline(meeting_keys(F.array_compact(F.array(_full_name()))))), "b")
     at = lambda m: a("t") == MEETINGS[m]
@@ -218,7 +218,7 @@ def _told(queries: DataFrame, records: DataFrame, *more: str) -> DataFrame:
         .when(at("email"), other_family & ~place & ~G.both("street_zip") & ~G.overlap("phones") & once("emails") & ~named_alike)
         .otherwise(other_family & other_first & ~G.both("nzip") & ~G.overlap("phones") & ~G.overlap("emails"))
     )
-    met = x.join(y, (a("t") == b("t")) & (a("k") == b("k")) & (a("id") != b("id"))).where(F.when(at("birth and family"), G.twins()).otherwise(fits & ~G.looks_same()))
+    met = x.join(by_sort(y), (a("t") == b("t")) & (a("k") == b("k")) & (a("id") != b("id"))).where(F.when(at("birth and family"), G.twins()).otherwise(fits & ~G.looks_same()))
     named_kinds = {"birth and family": "twin", "birth and place": "dob_zip", "name": "name", "address": "address", "phone": "phone", "email": "email", "birth": "dob_only"}
     kind = F.when(at("family and place"), F.when(G.yes(G.year_gap() <= 3), "sibling").otherwise("surname_zip"))
     for m, k in named_kinds.items():
@@ -243,7 +243,7 @@ def near_misses(queries: DataFrame, records: DataFrame, cap: int = 10, seed: int
         border = F.when(F.col(f"_n{i}") >= cap, x).otherwise(border)
     counts = counts.select("a_id", "kind", "seen", border.alias("border"))
     counts = cut(counts.groupBy("a_id").agg(F.map_from_entries(F.collect_list(F.struct("kind", F.struct("border", "seen")))).alias("told")))
-    asked = queries.join(counts, F.col("id") == F.col("a_id")).drop("a_id")
+    asked = queries.join(by_sort(counts), F.col("id") == F.col("a_id")).drop("a_id")
     told = F.try_element_at(a("told"), F.col("kind"))
     kept = _told(asked, records, "told").where(h < told["border"]).select("a_id", "b_id", "kind", told["seen"].alias("seen"))
     slot = Window.partitionBy("a_id", "kind").orderBy(h, b("id"))
@@ -255,7 +255,7 @@ def same_person_ids(probe: DataFrame, known: DataFrame) -> DataFrame:
     """(probe_id, id) of people with an equal usable SSN or identity key."""
     ident = F.when((F.col("first") != "") & (F.col("family") != "") & (F.col("dob") != ""), F.concat_ws("|", F.lit("k"), "first", "family", "dob"))
     keys = lambda df, n: df.select(F.col("id").alias(n), F.explode(F.array_compact(F.array(F.concat(F.lit("s|"), F.col("ssn")), ident))).alias("key"))
-    return keys(probe, "probe_id").join(keys(known, "id"), "key").select("probe_id", "id").distinct()
+    return keys(probe, "probe_id").join(by_sort(keys(known, "id")), "key").select("probe_id", "id").distinct()
 
 
 def duplicate_ids(probe: DataFrame, known: DataFrame) -> DataFrame:
@@ -271,6 +271,6 @@ def duplicate_ids(probe: DataFrame, known: DataFrame) -> DataFrame:
     dated = F.when(F.col("dob") != "", F.concat(day("f", "first"), day("g", "family"), F.flatten(F.transform(halves, lambda x: put("d", F.transform(others, lambda o: F.concat_ws("|", x, o))))))).otherwise(empty)
     block = F.concat(put("s|", F.when(F.col("ssn").isNotNull(), N.near_keys(F.col("ssn"))).otherwise(empty)), dated)
     keys = lambda df, n: df.select(F.col("id").alias(n), F.explode(block).alias("key"))
-    met = keys(probe, "pid_").join(keys(known, "kid_"), "key").where("pid_ <> kid_").select("pid_", "kid_").distinct()
-    pairs = met.join(side(probe, "a"), F.col("pid_") == a("id")).join(side(known, "b"), F.col("kid_") == b("id"))
+    met = keys(probe, "pid_").join(by_sort(keys(known, "kid_")), "key").where("pid_ <> kid_").select("pid_", "kid_").distinct()
+    pairs = met.join(by_sort(side(probe, "a")), F.col("pid_") == a("id")).join(by_sort(side(known, "b")), F.col("kid_") == b("id"))
     return pairs.where(G.probable_duplicate()).select(a("id").alias("probe_id"), b("id").alias("id"))

@@ -9,7 +9,7 @@ from weftlink.functions.guard import a, b
 from weftlink.model import key_columns
 from weftlink.operators import mine
 from weftlink.queries.sqlx import NICK
-from weftlink.session import table
+from weftlink.session import cut, table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -46,8 +46,7 @@ def query(sql: str | None = None):
 def _people(spark: SparkSession, d: str) -> DataFrame:
     """The register's people by their first delivery, as flat keys; ``id`` and ``ord`` are the register's numbers."""
     rows = table(spark, d, "internal_records").where("target is not null and internal_id is not null").select("internal_id", "received_at", "target")
-    once = rows.groupBy("internal_id").agg(F.min(F.struct(F.col("received_at").isNull().alias("n"), F.col("received_at").alias("r"), F.to_json("target").alias("j"))).alias("m"))
-    first = rows.join(once.select(F.col("internal_id").alias("_i"), "m"), F.col("internal_id") == F.col("_i")).where(F.to_json("target") == F.col("m.j")).groupBy("internal_id").agg(F.first("target").alias("target"))
+    first = rows.groupBy("internal_id").agg(F.min_by("target", F.struct(F.col("received_at").isNull().alias("n"), F.col("received_at").alias("r"), F.to_json("target").alias("j"))).alias("target"))
     return first.select(F.col("internal_id").alias("ord"), F.col("internal_id").alias("_id"), *key_columns(F.col("target"))).withColumn("id", F.col("_id")).drop("_id")
 
 
@@ -120,11 +119,11 @@ def register_siblings(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def register_near_misses(spark: SparkSession, d: str) -> DataFrame:
     """Look-alikes of every hundredth record among all of them, by kind."""
-    k = _people(spark, d)
+    k = cut(_people(spark, d))  # read several times
     return mine.near_misses(k.where("id % 100 = 0"), k).select(a("id").alias("qid"), b("id").alias("rid"), "kind", "rank", "seen")
 
 
 @query(_KEYS + f" SELECT a.id AS id_a, b.id AS id_b FROM k a JOIN k b ON a.id<b.id AND {_DUP}")
 def register_duplicates(spark: SparkSession, d: str) -> DataFrame:
-    k = _people(spark, d)
+    k = cut(_people(spark, d))  # read four times: else each read reduces the deliveries again, in one plan
     return mine.duplicate_ids(k, k).where("probe_id < id").select(F.col("probe_id").alias("id_a"), F.col("id").alias("id_b"))
