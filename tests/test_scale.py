@@ -53,3 +53,17 @@ def test_register_people_are_never_broadcast(spark):
 
     assert joins(registers.register_duplicates(spark, "/root/testdata/sf0.001")) == {"SortMergeJoin"}
     assert joins(registers.register_keys(spark, "/root/testdata/sf0.001")) == set()
+
+
+def test_variants_are_counted_without_writing_them(spark, monkeypatch):
+    from weftlink.operators import drift
+    from weftlink.plans.persona import as_person, persona
+
+    base = as_person(persona(spark, "/root/testdata/sf0.001")).select("pid", "person")
+    want = {(r.scenario, r.subtype): r["count"] for r in drift.variants(base, base).groupBy("scenario", "subtype").count().collect()}
+    written, cut = [], drift.cut
+    monkeypatch.setattr(drift, "cut", lambda df: (out := cut(df), written.append(set(out.columns)))[0])
+    assert {(r.scenario, r.subtype): r.n for r in drift.variant_counts(base, base).collect()} == want
+    assert len(want) > 10 and not any("variant" in columns for columns in written)
+    placed = spark.createDataFrame([(1,)], "k int")
+    assert joins(placed.join(drift.by_sort(placed.withColumnRenamed("k", "l")), F.col("k") == F.col("l"))) == {"SortMergeJoin"}
