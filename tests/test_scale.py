@@ -67,3 +67,17 @@ def test_variants_are_counted_without_writing_them(spark, monkeypatch):
     assert len(want) > 10 and not any("variant" in columns for columns in written)
     placed = spark.createDataFrame([(1,)], "k int")
     assert joins(placed.join(drift.by_sort(placed.withColumnRenamed("k", "l")), F.col("k") == F.col("l"))) == {"SortMergeJoin"}
+
+
+def test_rebalance_sorts_about_what_it_keeps(spark, monkeypatch):
+    from weftlink.operators import sample
+
+    rows = [(f"m{i}", "ab"[i % 3 == 0], True) for i in range(4000)] + [(f"n{i}", "a", False) for i in range(40)]
+    df = spark.createDataFrame(rows, "id string, category string, is_match boolean")
+    sorted_, first = [], sample.first_per_group
+    monkeypatch.setattr(sample, "first_per_group", lambda d, *a: (sorted_.append(d.count()), first(d, *a))[1])
+    got = {r.id for r in sample.rebalance(df, 0.2, floor=5).collect()}
+    order = lambda c: sorted((hashlib.md5(f"0:rebalance:{c}:{i}".encode()).hexdigest(), i) for i, k, m in rows if m and k == c)
+    kept = {c: round(len(order(c)) * 160 / 4000) for c in "ab"}
+    assert sum(kept.values()) == 160 and got == {f"n{i}" for i in range(40)} | {i for c, n in kept.items() for _, i in order(c)[:n]}
+    assert sorted_[0] < 200

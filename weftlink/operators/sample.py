@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -57,10 +58,15 @@ def stratified(df: DataFrame, n: int, donors: int = 0, seed: int = 0, shares: Ma
 
 def rebalance(df: DataFrame, share: float, seed: int = 0, floor: int = 25) -> DataFrame:
     """Rows (id, category, is_match) with matches dropped, in proportion to their categories and not below ``floor`` of each, until
-    the others have ``share`` of all. Only the counts per category come to the driver."""
+    the others have ``share`` of all. Only counts come to the driver, per category and slice of the hash order: rows beyond the slice in
+    which a category's limit falls are dropped where they are made, so that only about as many as are kept get sorted."""
     if not 0 < share < 1:
         raise ValueError("share must lie between 0 and 1")
-    counts = {(r["category"], r["is_match"]): r["count"] for r in df.groupBy("category", "is_match").count().collect()}
+    h = N.digest(seed, "rebalance", F.col("category"), F.col("id"))
+    slices: dict = {}
+    for r in df.groupBy("category", "is_match", F.when(F.col("is_match"), F.substring(h, 1, 3)).alias("s")).count().collect():  # at most 4,096 a category
+        slices.setdefault((r["category"], r["is_match"]), {})[r["s"]] = r["count"]
+    counts = {k: sum(v.values()) for k, v in slices.items()}
     groups = {c: n for (c, m), n in counts.items() if m}
     budget = int(sum(n for (_, m), n in counts.items() if not m) * (1 - share) / share)
     total = sum(groups.values())
@@ -70,9 +76,10 @@ def rebalance(df: DataFrame, share: float, seed: int = 0, floor: int = 25) -> Da
     keep = {c: min(n, max(least[c], round(n * budget / total))) for c, n in groups.items()}
     while sum(keep.values()) > budget and (open_ := [c for c in keep if keep[c] > least[c]]):
         keep[max(open_, key=lambda c: (keep[c], c))] -= 1
-    limits = F.try_element_at(F.create_map(*[x for c, n in keep.items() for x in (F.lit(c), F.lit(n))]), F.col("category"))
-    order = [N.digest(seed, "rebalance", F.col("category"), F.col("id")), F.col("id")]
-    matches = first_per_group(df.where("is_match"), ["category"], order, max(keep.values()), "_rank").where(F.col("_rank") <= limits).drop("_rank")
+    last = {c: next((s for s, upto in zip(sorted(slices[c, True]), accumulate(n for _, n in sorted(slices[c, True].items()))) if upto >= keep[c]), "fff") for c in keep}
+    of = lambda values: F.try_element_at(F.create_map(*[x for c, n in values.items() for x in (F.lit(c), F.lit(n))]), F.col("category"))
+    near = df.where("is_match").where(F.substring(h, 1, 3) <= of(last))
+    matches = first_per_group(near, ["category"], [h, F.col("id")], max(keep.values()), "_rank").where(F.col("_rank") <= of(keep)).drop("_rank")
     return df.where("not is_match").unionByName(matches)
 
 
