@@ -81,3 +81,15 @@ def test_rebalance_sorts_about_what_it_keeps(spark, monkeypatch):
     kept = {c: round(len(order(c)) * 160 / 4000) for c in "ab"}
     assert sum(kept.values()) == 160 and got == {f"n{i}" for i in range(40)} | {i for c, n in kept.items() for _, i in order(c)[:n]}
     assert sorted_[0] < 200
+
+
+def test_edits_are_projections_of_a_written_population(spark):
+    from weftlink.operators import drift
+    from weftlink.plans import pairs
+    from weftlink.plans.persona import persona
+
+    made = pairs.positives(persona(spark, "/root/testdata/sf0.001").where("pid < 40"), profile=drift.Profile(rates=dict.fromkeys(drift.RATES, 0.0) | {"ssn_dropped": 1.0}))
+    assert joins(made) == set()
+    rows = made.select("pid", "pair_type", "person.id", F.col("variant.id").alias("copy"), F.col("person").eqNullSafe(F.col("variant")).alias("same")).collect()
+    assert {r.pair_type for r in rows} == {"fuzzy_variant", "compound_variant", "normalization_edge_case", "ssn_dropped"}
+    assert all(r.id == r.copy == str(r.pid) and not r.same for r in rows)
