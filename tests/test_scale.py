@@ -93,3 +93,58 @@ def test_edits_are_projections_of_a_written_population(spark):
     rows = made.select("pid", "pair_type", "person.id", F.col("variant.id").alias("copy"), F.col("person").eqNullSafe(F.col("variant")).alias("same")).collect()
     assert {r.pair_type for r in rows} == {"fuzzy_variant", "compound_variant", "normalization_edge_case", "ssn_dropped"}
     assert all(r.id == r.copy == str(r.pid) and not r.same for r in rows)
+
+
+def test_drawn_near_misses_are_the_cap_or_all(spark, monkeypatch):
+    """Parts of a meeting must not cost a query near misses: it gets ``cap`` of a kind or all there are, each one right."""
+    k = crowd(spark).withColumn("phones", F.when(F.col("id") % 3 == 0, F.array_sort(F.array_union("phones", F.array(F.lit("2125550100"), F.lit("2125550101"))))).otherwise(F.col("phones")))
+    met = G.side(k, "a").join(G.side(k, "b"), F.col("a_id") != F.col("b_id")).where(G.twins() | ~G.looks_same()).withColumn("kind", G.near_miss_kind()).where("kind is not null")
+    kinds = {(r.a_id, r.b_id): r.kind for r in met.select("a_id", "b_id", "kind").collect()}
+    seen = Counter((q, kind) for (q, _), kind in kinds.items())
+    for cap, few in ((1, 20_000), (2, 0), (3, 20_000), (1000, 0)):
+        monkeypatch.setattr(mine, "_FEW", few)
+        pairs, told = mine.drawn_near_misses(k, k, cap)
+        rows = {(r.query_id, r.candidate_id): r.kind for r in pairs.collect()}
+        assert all(kinds[p] == kind for p, kind in rows.items())
+        got = {g: min(n, cap) for g, n in Counter((q, kind) for (q, _), kind in rows.items()).items()}
+        assert got == {g: min(n, cap) for g, n in seen.items()}
+        total = Counter()
+        for (q, _), n in got.items():
+            total[q] += n
+        assert {r.query_id: r.n for r in told.collect()} == total
+    assert pairs.count() == len(kinds)  # one level, nothing twice
+
+
+def test_pools_look_for_strangers_only_where_near_misses_end(spark, monkeypatch):
+    from weftlink.plans import pools
+    from weftlink.plans.persona import persona_dup
+
+    flat = persona_dup(spark, "/root/testdata/sf0.001")
+    asked, strangers = [], pools.strangers
+    monkeypatch.setattr(pools, "strangers", lambda q, *a: (asked.append({r.id for r in q.select("id").collect()}), strangers(q, *a))[1])
+    rows = pools.pools(flat, size=3).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r.query_id, []).append(r)
+    k = people(flat).where("id < 10000000").localCheckpoint()
+    near = Counter({r.a_id: r.n for r in mine.near_miss_counts(k, k).groupBy("a_id").agg(F.sum(F.least("seen", F.lit(10))).alias("n")).collect()})
+    everybody = {r.id for r in k.select("id").collect()}
+    assert asked == [{q for q in everybody if near[q] < 3}] and 0 < len(asked[0]) < len(everybody)
+    for q, pool in by.items():
+        n = Counter("match" if r.is_match else "stranger" if r.category == "stranger" else "near" for r in pool)
+        assert n["near"] == min(near[q], 3 - min(n["match"], 3)) and sorted(r.place for r in pool) == list(range(1, len(pool) + 1))
+        assert {r.rationale for r in pool} == {"population" + "".join("/" + "+".join(c) for c in [sorted({r.category for r in pool} - {"match", "stranger"})] if c)}
+    assert set(by) == everybody and any(r.category == "stranger" for r in rows)
+
+
+def test_strangers_are_the_slices_without_those_who_look_the_same(spark):
+    from weftlink.functions import norm as N
+    from weftlink.plans import pools
+
+    k = crowd(spark)
+    slices = 240 // 20
+    at = {r.id: r.s for r in k.select("id", N.draw(slices, 0, "slice", F.col("id")).alias("s")).collect()}
+    same = {(r[0], r[1]) for f in (mine.same_person_ids, mine.duplicate_ids) for r in f(k, k).select("probe_id", "id").collect()}
+    want = {(q, c) for q in at for c in at if q != c and (at[c] - at[q]) % slices < 3 and (q, c) not in same}
+    got = [(r.query_id, r.candidate_id) for r in pools.strangers(k, k, 20).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) < len(at) * len(at)

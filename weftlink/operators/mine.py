@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from math import log2
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from weftlink.functions import guard as G
 from weftlink.functions import norm as N
 from weftlink.functions.guard import a, b, side
-from weftlink.session import by_sort, cut
+from weftlink.session import by_sort, cut, stored, tasks
 
 
 def blocked(df: DataFrame, keys: list[str], keep: Column, order: str = "ord") -> DataFrame:
@@ -171,10 +172,17 @@ def search_keys(df: DataFrame) -> DataFrame:
 #: so that it is told once without a list of all pairs.
 MEETINGS = {"birth and family": 0, "birth and place": 1, "name": 2, "family and place": 3, "address": 4, "phone": 5, "email": 6, "birth": 7}
 #: The columns that guards and kinds read.
-_READ = ("id", "first", "family", "dob", "ssn", "phones", "emails", "nzip", "street_zip", "tokens")
+READ = ("id", "first", "family", "dob", "ssn", "phones", "emails", "nzip", "street_zip", "tokens")
+#: Columns that only the tests of some meetings read: elsewhere they don't travel.
+_READ_AT = {"emails": (6, 7), "nzip": (2, 4, 5, 6, 7), "street_zip": (0, 3, 5, 6), "tokens": (0, 3)}
+#: The kinds that a meeting tells.
+_KINDS_AT = (("twin",), ("dob_zip",), ("name",), ("sibling", "surname_zip"), ("address",), ("phone",), ("email",), ("dob_only",))
 #: Borders of the hash at which near misses are counted, falling, each a quarter of the one before.
 _BORDERS = ("4", "1", "04", "01", "004", "001", "0004", "0001")
 
+#: Pairs that a task meets and sorts, and queries asked again whose keys may be sent to all executors.
+_PAIRS_A_TASK, _FEW = 1_000_000, 20_000
+
 
 def _full_name() -> Column:
     return F.when((F.col("first") != "") & (F.col("family") != ""), F.concat_ws(" ", "first", "family"))
@@ -197,12 +205,31 @@ def near_names(queries: DataFrame, records: DataFrame) -> DataFrame:
     return met.groupBy("name").agg(F.collect_set("near").alias("names"))
 
 
+def _narrow(df: DataFrame) -> DataFrame:
+    """People at a meeting without what its tests don't read."""
+    return df.withColumns({c: F.when(F.col("t").isin(*ts), F.col(c)) for c, ts in _READ_AT.items()})
+
+
+def _asked(queries: DataFrame, records: DataFrame, *more: str) -> DataFrame:
+    """The queries with the names that are near theirs."""
+    return queries.select(*READ, *more).withColumn("_name", _full_name()).join(by_sort(near_names(queries, records).withColumnRenamed("name", "_name")), "_name", "left").drop("_name")
+
+
+def _sides(asked: DataFrame, records: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]:
+    """The queries and the records, each once for each value under which it meets others."""
+    x = asked.select(*READ, *more, F.inline(meeting_keys(F.col("names"))))
+    return _narrow(x), _narrow(records.select(*READ, F.inline(meeting_keys(F.array_compact(F.array(_full_name()))))))
+
+
 def _told(queries: DataFrame, records: DataFrame, *more: str) -> DataFrame:
-    """(a_*, b_*, kind) of all near misses, each once, with further columns of the queries. Shuffled are people with their keys, never pairs:
+    """(a_*, b_*, kind) of all near misses, each once, with further columns of the queries."""
+    return _met(*_sides(_asked(queries, records, *more), records, *more))
+
+
+def _met(x: DataFrame, y: DataFrame, *parts: str, wanted: bool = False) -> DataFrame:
+    """The near misses of the rows of ``_sides`` that meet, if need be only those of equal ``parts`` or of the kinds ``wanted`` by the query. Shuffled are people with their keys, never pairs:
     what a pair is follows from the two rows where they meet. The tests of a meeting are those of ``G.near_miss_kind`` that are open there."""
-    asked = queries.select(*_READ, *more).withColumn("_name", _full_name()).join(by_sort(near_names(queries, records).withColumnRenamed("name", "_name")), "_name", "left")
-    x = side(asked.select(*_READ, *more, F.inline(meeting_keys(F.col("names")))), "a")
-    y = side(records.select(*_READ, F.inline(meeting_keys(F.array_compact(F.array(_full_name()))))), "b")
+    x, y = side(x, "a"), side(y, "b")
     at = lambda m: a("t") == MEETINGS[m]
     other_family, other_first = a("family") != b("family"), a("first") != b("first")
     place = G.both("dob") & G.both("nzip")
@@ -218,12 +245,15 @@ def _told(queries: DataFrame, records: DataFrame, *more: str) -> DataFrame:
         .when(at("email"), other_family & ~place & ~G.both("street_zip") & ~G.overlap("phones") & once("emails") & ~named_alike)
         .otherwise(other_family & other_first & ~G.both("nzip") & ~G.overlap("phones") & ~G.overlap("emails"))
     )
-    met = x.join(by_sort(y), (a("t") == b("t")) & (a("k") == b("k")) & (a("id") != b("id"))).where(F.when(at("birth and family"), G.twins()).otherwise(fits & ~G.looks_same()))
+    on = reduce(lambda p, q: p & q, [a(c) == b(c) for c in ("t", "k", *parts)])
     named_kinds = {"birth and family": "twin", "birth and place": "dob_zip", "name": "name", "address": "address", "phone": "phone", "email": "email", "birth": "dob_only"}
     kind = F.when(at("family and place"), F.when(G.yes(G.year_gap() <= 3), "sibling").otherwise("surname_zip"))
     for m, k in named_kinds.items():
         kind = kind.when(at(m), k)
-    return met.withColumn("kind", kind)
+    keep = F.when(at("birth and family"), G.twins()).otherwise(fits & ~G.looks_same())
+    if wanted:  # first, as it costs least
+        keep = F.when(F.array_contains(a("wanted"), kind), keep).otherwise(F.lit(False))
+    return x.join(by_sort(y), on & (a("id") != b("id"))).where(keep).withColumn("kind", kind)
 
 
 def near_miss_counts(queries: DataFrame, records: DataFrame) -> DataFrame:
@@ -251,6 +281,66 @@ def near_misses(queries: DataFrame, records: DataFrame, cap: int = 10, seed: int
     return kept.repartition("a_id").withColumn("rank", F.row_number().over(slot)).where(F.col("rank") <= cap)
 
 
+def drawn_near_misses(queries: DataFrame, records: DataFrame, cap: int = 10, seed: int = 0) -> tuple[DataFrame, DataFrame]:
+    """Near misses where everybody may be a query: pairs (query_id, candidate_id, kind), which ``first_drawn`` cuts to ``cap`` of a query and kind, and
+    (query_id, n), how many of them there are at least after that. Each query has ``cap`` of a kind, or all of them where there are fewer; they
+    are others than those of ``near_misses``, which compares a query with everybody that it meets. Here the records of a meeting are dealt out
+    by hash to parts of about twice the cap and a query meets its own part. Queries that find less than ``cap`` of a kind there meet eight parts at
+    once, and so on up to the whole meeting. Pairs are cut to ``cap`` in the task that meets them
+    and written; those of a query and kind that was asked again lie among the later ones."""
+    spark = queries.sparkSession
+    asked = stored(_asked(queries, records), "asked")
+    _, y = _sides(asked, records)
+    sizes = lambda df, c: df.groupBy("t", "k").agg(F.count("*").alias(c))
+    x = _sides(asked, records)[0]
+    met = sizes(x, "nx").join(by_sort(sizes(y, "ny")), ["t", "k"]).groupBy("t").agg(F.sum(F.col("nx") * F.col("ny")).alias("pairs"))
+    n_asked = x.groupBy("t").agg(F.approx_count_distinct("id").alias("n"))
+    per = {r["t"]: r["pairs"] / r["n"] for r in met.join(by_sort(n_asked), "t").collect()}  # a row per meeting
+    parts = {t: 1 << max(0, int(log2(max(1.0, n / (2 * cap))))) for t, n in per.items()}
+    pairs, counts = [], []
+    while parts:
+        of = reduce(lambda w, t: w.when(F.col("t") == t, parts[t]), parts, F.when(F.lit(False), 1))
+        part = lambda df: df.where(F.col("t").isin(*parts)).withColumn("c", N.draw(of, seed, "part", F.col("id")))  # noqa: E731, B023
+        x, y = _sides(asked, records, *(["done"] if counts else []))
+        if counts:
+            kinds = reduce(lambda w, t: w.when(F.col("t") == t, F.array(*[F.lit(k) for k in _KINDS_AT[t]])), parts, F.when(F.lit(False), F.array(F.lit(""))))
+            x = x.where(F.col("t").isin(*parts)).withColumn("wanted", F.array_except(kinds, F.coalesce("done", F.array().cast("array<string>")))).where(F.size("wanted") > 0).drop("done")
+        n = {r["t"]: r["n"] for r in x.where(F.col("t").isin(*parts)).groupBy("t").agg(F.count("*").alias("n")).collect()}  # a row per meeting
+        parts = {t: p for t, p in parts.items() if t in n}
+        if not parts:
+            break
+        x, y = part(x), part(y)
+        if few := [t for t in parts if counts and n[t] <= _FEW]:
+            keys = cut(x.where(F.col("t").isin(*few)).select("t", "k", "c").distinct())
+            y = y.where(~F.col("t").isin(*few)).unionByName(y.where(F.col("t").isin(*few)).join(F.broadcast(keys), ["t", "k", "c"], "left_semi"))
+        dealt = max(tasks(spark), round(sum(n[t] * per[t] / parts[t] for t in parts) / _PAIRS_A_TASK))
+        told = _met(x.repartition(dealt, "t", "k", "c"), y.repartition(dealt, "t", "k", "c"), "c", wanted=bool(counts))
+        # in one task anyway: the window needs no shuffle
+        slot = Window.partitionBy("a_t", "a_k", "a_c", "a_id", "kind").orderBy(_drawn(a("id"), b("id"), seed), b("id"))
+        first = told.select("a_t", "a_k", "a_c", "a_id", "b_id", "kind").withColumn("_r", F.row_number().over(slot)).where(F.col("_r") <= cap)
+        pairs.append(stored(first.select(a("id").alias("query_id"), b("id").alias("candidate_id"), "kind"), "near"))
+        counts.append(stored(pairs[-1].groupBy("query_id", "kind").agg(F.count("*").alias("n")), "near_counts"))
+        parts = {t: max(1, p // 8) for t, p in parts.items() if p > 1}
+        if parts:
+            # of every round so far: a round tells only the kinds that were wanted of it
+            done = reduce(DataFrame.unionByName, counts).where(F.col("n") >= cap).groupBy("query_id").agg(F.collect_set("kind").alias("done"))
+            asked = asked.drop("done").join(by_sort(done), F.col("id") == F.col("query_id"), "left").drop("query_id")
+    if not pairs:  # nobody meets anybody
+        kind = queries.schema["id"].dataType.simpleString()
+        return spark.createDataFrame([], f"query_id {kind}, candidate_id {kind}, kind string"), spark.createDataFrame([], f"query_id {kind}, n long")
+    most = reduce(DataFrame.unionByName, counts).groupBy("query_id", "kind").agg(F.least(F.max("n"), F.lit(cap)).alias("n"))
+    return reduce(DataFrame.unionByName, pairs), most.groupBy("query_id").agg(F.sum("n").alias("n"))
+
+
+def _drawn(query: Column, candidate: Column, seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), F.lit("near_miss"), query, candidate)
+
+
+def draw_order(seed: int = 0) -> list[Column]:
+    """The order in which ``drawn_near_misses`` of a query and kind count."""
+    return [_drawn(F.col("query_id"), F.col("candidate_id"), seed), F.col("candidate_id")]
+
+
 def same_person_ids(probe: DataFrame, known: DataFrame) -> DataFrame:
     """(probe_id, id) of people with an equal usable SSN or identity key."""
     ident = F.when((F.col("first") != "") & (F.col("family") != "") & (F.col("dob") != ""), F.concat_ws("|", F.lit("k"), "first", "family", "dob"))
@@ -269,7 +359,8 @@ def duplicate_ids(probe: DataFrame, known: DataFrame) -> DataFrame:
     halves = F.array(F.substring("dob", 1, 4), F.right("dob", F.lit(5)))
     day = lambda tag, c: F.when(F.col(c) != "", F.array(F.concat_ws("|", F.lit(tag), "dob", c))).otherwise(empty)
     dated = F.when(F.col("dob") != "", F.concat(day("f", "first"), day("g", "family"), F.flatten(F.transform(halves, lambda x: put("d", F.transform(others, lambda o: F.concat_ws("|", x, o))))))).otherwise(empty)
-    block = F.concat(put("s|", F.when(F.col("ssn").isNotNull(), N.near_keys(F.col("ssn"))).otherwise(empty)), dated)
+    # as numbers, half the bytes: should two keys fall on one, the pair is tested as any other
+    block = F.array_distinct(F.transform(F.concat(put("s|", F.when(F.col("ssn").isNotNull(), N.near_keys(F.col("ssn"))).otherwise(empty)), dated), lambda x: F.xxhash64(x)))
     keys = lambda df, n: df.select(F.col("id").alias(n), F.explode(block).alias("key"))
     met = keys(probe, "pid_").join(by_sort(keys(known, "kid_")), "key").where("pid_ <> kid_").select("pid_", "kid_").distinct()
     pairs = met.join(by_sort(side(probe, "a")), F.col("pid_") == a("id")).join(by_sort(side(known, "b")), F.col("kid_") == b("id"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from weftlink.functions import norm as N
 from weftlink.functions.guard import a, b
 from weftlink.operators import drift, mine
 from weftlink.plans.persona import people
-from weftlink.session import cut
+from weftlink.session import by_sort, stored, tasks
 
 
 def thin(matches: DataFrame, profile: drift.Profile = drift.Profile(), seed: int = 0) -> DataFrame:
@@ -26,11 +28,11 @@ def strangers(queries: DataFrame, people: DataFrame, size: int, seed: int = 0) -
     of many slices, a query reads the slices after its own. No query meets the whole table; ``slices`` grows with the table, so that
     a slice holds about ``size`` people."""
     slices = max(1, people.count() // size)
-    at = lambda c: N.draw(slices, seed, "slice", c)
-    asked = queries.select(F.col("id").alias("query_id"), F.explode(F.array(*[F.pmod(at(F.col("id")) + i, F.lit(slices)) for i in range(min(3, slices))])).alias("slice"))
-    met = asked.join(people.select(F.col("id").alias("candidate_id"), at(F.col("id")).alias("slice")), "slice").where("query_id <> candidate_id").select("query_id", "candidate_id")
-    same = mine.same_person_ids(queries, people).unionByName(mine.duplicate_ids(queries, people)).select(F.col("probe_id").alias("query_id"), F.col("id").alias("candidate_id")).distinct()
-    return met.join(same, ["query_id", "candidate_id"], "left_anti")
+    at = N.draw(slices, seed, "slice", F.col("id"))
+    read = ("id", "first", "family", "dob", "ssn", "phones")  # what ``G.looks_same`` reads: pairs are tested where they meet
+    asked = queries.select(*read, F.explode(F.array(*[F.pmod(at + i, F.lit(slices)) for i in range(min(3, slices))])).alias("slice"))
+    met = G.side(asked, "a").join(by_sort(G.side(people.select(*read, at.alias("slice")), "b")), (a("slice") == b("slice")) & (a("id") != b("id")))
+    return met.where(~G.looks_same()).select(a("id").alias("query_id"), b("id").alias("candidate_id"))
 
 
 def place(every: DataFrame, size: int, seed: int = 0) -> DataFrame:
@@ -41,21 +43,39 @@ def place(every: DataFrame, size: int, seed: int = 0) -> DataFrame:
     trimmed = once.withColumn("_r", F.row_number().over(order)).where(F.col("is_match") | (F.col("_r") <= size))
     shuffled = Window.partitionBy("query_id").orderBy(N.digest(seed, "place", F.col("query_id"), F.col("candidate_id")), "candidate_id")
     placed = trimmed.withColumn("place", F.row_number().over(shuffled)).drop("_r", "prio")
-    said = placed.where("category not in ('match', 'stranger')").groupBy("query_id").agg(F.array_join(F.array_sort(F.collect_set("category")), "+").alias("_c"))
-    return placed.join(said, "query_id", "left").withColumn("rationale", F.concat(F.lit("population"), F.when(F.col("_c").isNotNull(), F.concat(F.lit("/"), "_c")).otherwise(""))).drop("_c")
+    # over the rows of a query, which lie together here
+    told = F.array_sort(F.collect_set(F.when(~F.col("category").isin("match", "stranger"), F.col("category"))).over(Window.partitionBy("query_id")))
+    return placed.withColumn("_c", told).withColumn("rationale", F.concat(F.lit("population"), F.when(F.size("_c") > 0, F.concat(F.lit("/"), F.array_join("_c", "+"))).otherwise(""))).drop("_c")
+
+
+def keys(flat: DataFrame, *columns: str) -> DataFrame:
+    """The flat keys of the people, written once. They are dealt out first: a small file of keys stands for much work."""
+    return stored(people(flat.repartition(tasks(flat.sparkSession))).select(*columns), "people")
 
 
-def pools(flat_dup: DataFrame, size: int = 40, seed: int = 0, profile: drift.Profile = drift.Profile()) -> DataFrame:
+def pools(flat_dup: DataFrame, size: int = 40, seed: int = 0, profile: drift.Profile = drift.Profile(), cap: int = 10) -> DataFrame:
     """(query_id, candidate_id, is_match, category, place, rationale); everybody is a query. Matches are the copies of a query, thinned so that
-    some queries have none or one; decoys are near misses in order of kind, then strangers drawn by hash."""
-    k = cut(people(flat_dup))  # the keys are read by every join below
+    some queries have none or one; decoys are near misses in order of kind, then strangers drawn by hash. Strangers are looked for where near
+    misses don't fill the pool; elsewhere none could come in. Candidates are dealt out by query once, all that follows stays there."""
+    k = keys(flat_dup, *mine.READ)  # read by every join below
     old, new = k.where("id < 10000000"), k.where("id >= 10000000")
     matches = mine.same_person_ids(old, new).unionByName(mine.duplicate_ids(old, new)).distinct().select(F.col("probe_id").alias("query_id"), F.col("id").alias("candidate_id"))
-    yes = thin(matches, profile, seed).select("query_id", "candidate_id", F.lit(True).alias("is_match"), F.lit("match").alias("category"), F.lit(0).alias("prio"))
+    near, told = mine.drawn_near_misses(old, old, cap, seed)
+    short = stored(old.join(by_sort(told.where(F.col("n") >= size).select(F.col("query_id").alias("id"))), "id", "left_anti"), "short")
+    every = [thin(matches, profile, seed).select("query_id", "candidate_id", F.lit("match").alias("kind")), near]
+    if not short.isEmpty():
+        every.append(strangers(short, old, size, seed).select("query_id", "candidate_id", F.lit("stranger").alias("kind")))
+    rows = reduce(DataFrame.unionByName, every)
+    n = max(tasks(k.sparkSession), near.count() // 500_000)
+    nth = F.dense_rank().over(Window.partitionBy("query_id", "kind").orderBy(*mine.draw_order(seed)))  # a pair told twice has one rank
     rank = F.array_position(F.array(*[F.lit(x) for x in G.KINDS]), F.col("kind")).cast("int")
-    near = mine.near_misses(old, old, 10, seed).select(a("id").alias("query_id"), b("id").alias("candidate_id"), F.lit(False).alias("is_match"), F.col("kind").alias("category"), (F.col("rank") * 10 + rank).alias("prio"))
-    fill = strangers(old, old, size, seed).select("query_id", "candidate_id", F.lit(False).alias("is_match"), F.lit("stranger").alias("category"), F.lit(100000).alias("prio"))
-    return place(yes.unionByName(near).unionByName(fill), size, seed)
+    ranked = rows.repartition(n, "query_id").withColumn("_n", nth)
+    is_match, is_near = F.col("kind") == "match", ~F.col("kind").isin("match", "stranger")
+    prio = F.when(is_match, 0).when(is_near, F.col("_n") * 10 + rank).otherwise(100000)
+    cand = ranked.where(~is_near | (F.col("_n") <= cap)).select("query_id", "candidate_id", is_match.alias("is_match"), F.col("kind").alias("category"), prio.cast("int").alias("prio"))
+    # of one priority are the matches, the strangers, or one near miss: beyond the first ``size`` priorities no near miss can come in
+    level = F.dense_rank().over(Window.partitionBy("query_id").orderBy("prio"))
+    return place(cand.withColumn("_p", level).where((F.col("_p") <= size) | (F.col("prio") == 100000)).drop("_p"), size, seed)
 
 
 def as_arrays(long: DataFrame) -> DataFrame:
