@@ -148,3 +148,17 @@ def test_strangers_are_the_slices_without_those_who_look_the_same(spark):
     want = {(q, c) for q in at for c in at if q != c and (at[c] - at[q]) % slices < 3 and (q, c) not in same}
     got = [(r.query_id, r.candidate_id) for r in pools.strangers(k, k, 20).collect()]
     assert len(got) == len(set(got)) and set(got) == want and len(want) < len(at) * len(at)
+
+
+def test_decoys_agree_by_their_kind(spark):
+    from weftlink.queries.evaluation import pool_overlap
+
+    k = crowd(spark)
+    met = G.side(k, "a").join(G.side(k, "b"), F.col("a_id") != F.col("b_id")).withColumn("category", F.coalesce(G.near_miss_kind(), F.lit("stranger")))
+    rows = met.select("a_id", "b_id", "category", *[c.alias(n) for n, c in G.features().items() if n != "name_dob"]).collect()
+    none = {c: [not any(r[3:]) for r in rows if r.category == c] for c in {r.category for r in rows}}
+    assert set(none) == {*G.KINDS, "stranger"} and any(none["stranger"])
+    decoys = met.select(F.col("a_id").alias("query_id"), F.col("b_id").alias("candidate_id"), "category").localCheckpoint()
+    out = pool_overlap(decoys, k)
+    assert {r.category: (r.n, round(r.no_overlap_rate, 9)) for r in out.collect()} == {c: (len(v), round(sum(v) / len(v), 9)) for c, v in none.items()}
+    assert joins(out) == {"SortMergeJoin"}
