@@ -261,7 +261,7 @@ def population_pools(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def audit_pools(spark: SparkSession, d: str) -> DataFrame:
-    return audit.pool_metrics(_pools(spark, d))
+    return audit.pool_metrics(stored(_pools(spark, d).select("query_id", "candidate_id", "place", "is_match"), "pools"))  # read three times
 
 
 def _released(spark: SparkSession, d: str, n: int = 300) -> dataset.Released:
