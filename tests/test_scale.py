@@ -41,6 +41,20 @@ def test_near_misses_by_meeting_equal_all_pairs(spark, monkeypatch):
     assert max(written) <= q.count() < sum(map(len, groups.values()))  # never the pairs
 
 
+def test_near_misses_deal_the_records_out_once(spark, monkeypatch):
+    """Counting and ranking read one shuffle of the records, dealt out to as many tasks as sort their part in memory."""
+    k = crowd(spark)
+    q = k.where("id % 3 <> 1")
+    want = Counter(tuple(r) for r in mine.near_misses(q, k, 3).select("a_id", "b_id", "kind", "seen", "rank").collect())
+    monkeypatch.setattr(mine, "_SORTED", 200)
+    out = mine.near_misses(q, k, 3).select("a_id", "b_id", "kind", "seen", "rank")
+    assert Counter(tuple(r) for r in out.collect()) == want and len(want) > 100
+    plan = out._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
+    assert plan.count("ReusedExchange") == 1
+    n = 240 * len(mine.MEETINGS) // 200
+    assert "hashpartitioning(t#" in plan and f", {n}), REPARTITION_BY_NUM" in plan
+
+
 def joins(df):
     """The physical joins of a plan before it runs."""
     plan = df._jdf.queryExecution().executedPlan().toString()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from math import log2
 
@@ -177,11 +178,11 @@ READ = ("id", "first", "family", "dob", "ssn", "phones", "emails", "nzip", "stre
 _READ_AT = {"emails": (6, 7), "nzip": (2, 4, 5, 6, 7), "street_zip": (0, 3, 5, 6), "tokens": (0, 3)}
 #: The kinds that a meeting tells.
 _KINDS_AT = (("twin",), ("dob_zip",), ("name",), ("sibling", "surname_zip"), ("address",), ("phone",), ("email",), ("dob_only",))
-#: Borders of the hash at which near misses are counted, falling, each a quarter of the one before.
-_BORDERS = ("4", "1", "04", "01", "004", "001", "0004", "0001")
+#: Borders of the hash at which near misses are counted, falling, each half of the one before.
+_BORDERS = tuple("0" * n + x for n in range(4) for x in "8421")
 
-#: Pairs that a task meets and sorts, and queries asked again whose keys may be sent to all executors.
-_PAIRS_A_TASK, _FEW = 1_000_000, 20_000
+#: Pairs that a task meets and sorts, queries asked again whose keys may be sent to all executors, people under a key and pairs that a task sorts in memory.
+_PAIRS_A_TASK, _FEW, _SORTED = 1_000_000, 20_000, 250_000
 
 
 def _full_name() -> Column:
@@ -226,8 +227,13 @@ def _told(queries: DataFrame, records: DataFrame, *more: str) -> DataFrame:
     return _met(*_sides(_asked(queries, records, *more), records, *more))
 
 
-def _met(x: DataFrame, y: DataFrame, *parts: str, wanted: bool = False) -> DataFrame:
-    """The near misses of the rows of ``_sides`` that meet, if need be only those of equal ``parts`` or of the kinds ``wanted`` by the query. Shuffled are people with their keys, never pairs:
+def _kinds() -> Column:
+    """The kinds that the meeting ``t`` of a row tells."""
+    return F.get(F.array(*[F.array(*[F.lit(k) for k in ks]) for ks in _KINDS_AT]), F.col("t"))
+
+
+def _met(x: DataFrame, y: DataFrame, *parts: str, first: Callable[[Column], Column] | None = None) -> DataFrame:
+    """The near misses of the rows of ``_sides`` that meet, if need be only those of equal ``parts`` or those that pass ``first``, a condition on their kind. Shuffled are people with their keys, never pairs:
     what a pair is follows from the two rows where they meet. The tests of a meeting are those of ``G.near_miss_kind`` that are open there."""
     x, y = side(x, "a"), side(y, "b")
     at = lambda m: a("t") == MEETINGS[m]
@@ -251,8 +257,8 @@ def _met(x: DataFrame, y: DataFrame, *parts: str, wanted: bool = False) -> DataF
     for m, k in named_kinds.items():
         kind = kind.when(at(m), k)
     keep = F.when(at("birth and family"), G.twins()).otherwise(fits & ~G.looks_same())
-    if wanted:  # first, as it costs least
-        keep = F.when(F.array_contains(a("wanted"), kind), keep).otherwise(F.lit(False))
+    if first:  # as it costs least
+        keep = F.when(first(kind), keep).otherwise(F.lit(False))
     return x.join(by_sort(y), on & (a("id") != b("id"))).where(keep).withColumn("kind", kind)
 
 
@@ -261,24 +267,36 @@ def near_miss_counts(queries: DataFrame, records: DataFrame) -> DataFrame:
     return _told(queries, records).groupBy("a_id", "kind").agg(F.count("*").alias("seen"))
 
 
+def _dealt(df: DataFrame, n: int, *keys: str) -> DataFrame:
+    """The rows dealt out by ``keys`` to ``n`` tasks, where the session would give more to a task than it sorts in memory: what it spills is disk."""
+    return df.repartition(n, *keys) if n > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
 def near_misses(queries: DataFrame, records: DataFrame, cap: int = 10, seed: int = 0) -> DataFrame:
     """People of ``records`` who look like a query but are somebody else: (a_id, b_id, kind, seen, rank). Kept are the first ``cap`` of a query and
     kind in hash order; ``seen`` counts all. Pairs are counted first, in all and below some borders of the hash; then they meet again and
-    only those below the lowest border that leaves ``cap`` of them are ranked. No pair beyond is shuffled or written."""
+    only those below the lowest border that leaves ``cap`` of them are tested and ranked. No pair beyond is shuffled or written. Both are one plan, so that
+    the records are dealt out to their meetings once."""
     h = N.digest(seed, "near_miss", a("id"), b("id"))
+    asked = cut(_asked(queries, records))
+    n = records.count() * len(MEETINGS) // _SORTED
+    x, y = _sides(asked, records)
+    y = _dealt(y, n, "t", "k")
     below = [F.count_if(F.col("_h") < x).alias(f"_n{i}") for i, x in enumerate(_BORDERS)]
-    counts = _told(queries, records).select("a_id", "kind", h.alias("_h")).groupBy("a_id", "kind").agg(F.count("*").alias("seen"), *below)
+    counts = _met(_dealt(x, n, "t", "k"), y).select("a_id", "kind", h.alias("_h")).groupBy("a_id", "kind").agg(F.count("*").alias("seen"), *below)
     border = F.lit("g")  # above all hex digits
     for i, x in enumerate(_BORDERS):
         border = F.when(F.col(f"_n{i}") >= cap, x).otherwise(border)
     counts = counts.select("a_id", "kind", "seen", border.alias("border"))
-    counts = cut(counts.groupBy("a_id").agg(F.map_from_entries(F.collect_list(F.struct("kind", F.struct("border", "seen")))).alias("told")))
-    asked = queries.join(by_sort(counts), F.col("id") == F.col("a_id")).drop("a_id")
-    told = F.try_element_at(a("told"), F.col("kind"))
-    kept = _told(asked, records, "told").where(h < told["border"]).select("a_id", "b_id", "kind", told["seen"].alias("seen"))
+    counts = counts.groupBy("a_id").agg(F.map_from_entries(F.collect_list(F.struct("kind", F.struct("border", "seen")))).alias("told"))
+    again = _sides(asked.join(by_sort(counts), F.col("id") == F.col("a_id")).drop("a_id"), records, "told")[0]
+    again = again.withColumn("told", F.map_filter("told", lambda kind, _: F.array_contains(_kinds(), kind))).where(F.size("told") > 0)
+    told = lambda kind: F.try_element_at(a("told"), kind)
+    met = _met(_dealt(again, n, "t", "k"), y, first=lambda kind: F.coalesce(h < told(kind)["border"], F.lit(False)))
+    kept = met.select("a_id", "b_id", "kind", told(F.col("kind"))["seen"].alias("seen"))
     slot = Window.partitionBy("a_id", "kind").orderBy(h, b("id"))
     # dealt out before the hash is made: 32 characters a pair needn't travel
-    return kept.repartition("a_id").withColumn("rank", F.row_number().over(slot)).where(F.col("rank") <= cap)
+    return _dealt(kept.repartition("a_id"), n, "a_id").withColumn("rank", F.row_number().over(slot)).where(F.col("rank") <= cap)
 
 
 def drawn_near_misses(queries: DataFrame, records: DataFrame, cap: int = 10, seed: int = 0) -> tuple[DataFrame, DataFrame]:
@@ -303,8 +321,7 @@ def drawn_near_misses(queries: DataFrame, records: DataFrame, cap: int = 10, see
         part = lambda df: df.where(F.col("t").isin(*parts)).withColumn("c", N.draw(of, seed, "part", F.col("id")))  # noqa: E731, B023
         x, y = _sides(asked, records, *(["done"] if counts else []))
         if counts:
-            kinds = reduce(lambda w, t: w.when(F.col("t") == t, F.array(*[F.lit(k) for k in _KINDS_AT[t]])), parts, F.when(F.lit(False), F.array(F.lit(""))))
-            x = x.where(F.col("t").isin(*parts)).withColumn("wanted", F.array_except(kinds, F.coalesce("done", F.array().cast("array<string>")))).where(F.size("wanted") > 0).drop("done")
+            x = x.where(F.col("t").isin(*parts)).withColumn("wanted", F.array_except(_kinds(), F.coalesce("done", F.array().cast("array<string>")))).where(F.size("wanted") > 0).drop("done")
         n = {r["t"]: r["n"] for r in x.where(F.col("t").isin(*parts)).groupBy("t").agg(F.count("*").alias("n")).collect()}  # a row per meeting
         parts = {t: p for t, p in parts.items() if t in n}
         if not parts:
@@ -314,7 +331,7 @@ def drawn_near_misses(queries: DataFrame, records: DataFrame, cap: int = 10, see
             keys = cut(x.where(F.col("t").isin(*few)).select("t", "k", "c").distinct())
             y = y.where(~F.col("t").isin(*few)).unionByName(y.where(F.col("t").isin(*few)).join(F.broadcast(keys), ["t", "k", "c"], "left_semi"))
         dealt = max(tasks(spark), round(sum(n[t] * per[t] / parts[t] for t in parts) / _PAIRS_A_TASK))
-        told = _met(x.repartition(dealt, "t", "k", "c"), y.repartition(dealt, "t", "k", "c"), "c", wanted=bool(counts))
+        told = _met(x.repartition(dealt, "t", "k", "c"), y.repartition(dealt, "t", "k", "c"), "c", first=(lambda kind: F.array_contains(a("wanted"), kind)) if counts else None)
         # in one task anyway: the window needs no shuffle
         slot = Window.partitionBy("a_t", "a_k", "a_c", "a_id", "kind").orderBy(_drawn(a("id"), b("id"), seed), b("id"))
         first = told.select("a_t", "a_k", "a_c", "a_id", "b_id", "kind").withColumn("_r", F.row_number().over(slot)).where(F.col("_r") <= cap)
