@@ -109,6 +109,36 @@ def test_edits_are_projections_of_a_written_population(spark):
     assert all(r.id == r.copy == str(r.pid) and not r.same for r in rows)
 
 
+def test_institutions_are_filled_in_one_pass(spark, monkeypatch):
+    k = crowd(spark, 60)
+    rows = {r.id: r.upper_family for r in k.collect() if r.upper_family}
+    same = {(r[0], r[1]) for f in (mine.same_person_ids, mine.duplicate_ids) for r in f(k, k).select("probe_id", "id").collect()}
+    want = set()
+    for i in mine.INSTITUTIONS:
+        chosen, families = [], set()
+        for p in sorted(rows, key=lambda p: hashlib.md5(f"0:{i}:{p}".encode()).hexdigest()):
+            first, families = rows[p] not in families, families | {rows[p]}
+            if first and len(chosen) < 3 and not any((c, p) in same for c in chosen):
+                chosen.append(p)
+        want |= {(i, p, q) for n, p in enumerate(chosen) for q in chosen[n + 1 :]}
+    written, cut = [], mine.cut
+    monkeypatch.setattr(mine, "cut", lambda df: (out := cut(df), written.append(out.count()))[0])
+    assert {tuple(r) for r in mine.institution_pairs(k, 3).collect()} == want and len(want) == 3 * len(mine.INSTITUTIONS)
+    assert len(written) == 1
+
+
+def test_edits_are_made_by_all_tasks(spark, monkeypatch):
+    """A population in a small file is edited by more than one task."""
+    from weftlink.plans import pairs
+    from weftlink.plans.persona import persona
+
+    parts, cut = [], pairs.cut
+    monkeypatch.setattr(pairs, "cut", lambda df: (parts.append(df.rdd.getNumPartitions()), cut(df))[1])
+    monkeypatch.setattr(pairs.drift, "variants", lambda base, *a: base.select("pid", F.lit("").alias("scenario"), F.lit("").alias("subtype"), "person", F.col("person").alias("variant")))
+    pairs.positives(persona(spark, "/root/testdata/sf0.001"))
+    assert parts[0] >= 8
+
+
 def test_drawn_near_misses_are_the_cap_or_all(spark, monkeypatch):
     """Parts of a meeting must not cost a query near misses: it gets ``cap`` of a kind or all there are, each one right."""
     k = crowd(spark).withColumn("phones", F.when(F.col("id") % 3 == 0, F.array_sort(F.array_union("phones", F.array(F.lit("2125550100"), F.lit("2125550101"))))).otherwise(F.col("phones")))
