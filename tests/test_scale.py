@@ -181,6 +181,21 @@ def test_pools_look_for_strangers_only_where_near_misses_end(spark, monkeypatch)
     assert set(by) == everybody and any(r.category == "stranger" for r in rows)
 
 
+def test_pools_meet_their_queries_where_they_were_filled(spark):
+    from weftlink.plans import pools
+    from weftlink.plans.persona import as_person, persona
+
+    flat = persona(spark, "/root/testdata/sf0.001").where("pid < 20")
+    long = spark.range(20).select(F.col("id").alias("query_id"), F.explode(F.sequence(F.lit(1), F.lit(3))).alias("place")).withColumn("rationale", F.lit("population"))
+    long = long.withColumn("candidate_id", F.col("query_id") * 10 + 4 - F.col("place")).withColumn("is_match", F.col("place") == 2)
+    out = pools.with_query(long.repartition(7, "query_id"), flat)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and joins(out) == {"SortMergeJoin"}
+    who = as_person(flat).select(F.col("pid").cast("string").alias("query_id"), F.col("person").alias("query"))
+    want = pools.as_arrays(long).join(who, "query_id").select(*out.columns)
+    assert {r.query_id: r for r in out.collect()} == {r.query_id: r for r in want.collect()} and out.count() == flat.count() > 10
+
+
 def test_strangers_are_the_slices_without_those_who_look_the_same(spark):
     from weftlink.functions import norm as N
     from weftlink.plans import pools

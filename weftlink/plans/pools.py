@@ -11,7 +11,7 @@ from weftlink.functions import guard as G
 from weftlink.functions import norm as N
 from weftlink.functions.guard import a, b
 from weftlink.operators import drift, mine
-from weftlink.plans.persona import people
+from weftlink.plans.persona import as_person, people
 from weftlink.session import by_sort, stored, tasks
 
 
@@ -78,8 +78,21 @@ def pools(flat_dup: DataFrame, size: int = 40, seed: int = 0, profile: drift.Pro
     return place(cand.withColumn("_p", level).where((F.col("_p") <= size) | (F.col("prio") == 100000)).drop("_p"), size, seed)
 
 
-def as_arrays(long: DataFrame) -> DataFrame:
-    """One row per query with ordered arrays, for the sink; a pool has a fixed size."""
+def listed(long: DataFrame) -> DataFrame:
+    """One row per query with ordered arrays; a pool has a fixed size. Rows stay where those of their query lie."""
     row = F.struct("place", F.col("candidate_id").cast("string").alias("id"), "is_match")
-    listed = long.groupBy("query_id", "rationale").agg(F.array_sort(F.collect_list(row)).alias("c"))
-    return listed.select(F.col("query_id").cast("string").alias("query_id"), "rationale", F.transform("c", lambda x: x["id"]).alias("candidate_ids"), F.transform(F.filter("c", lambda x: x["is_match"]), lambda x: x["id"]).alias("match_ids"))
+    rows = long.groupBy("query_id", "rationale").agg(F.array_sort(F.collect_list(row)).alias("c"))
+    return rows.select("query_id", "rationale", F.transform("c", lambda x: x["id"]).alias("candidate_ids"), F.transform(F.filter("c", lambda x: x["is_match"]), lambda x: x["id"]).alias("match_ids"))
+
+
+def as_arrays(long: DataFrame) -> DataFrame:
+    """``listed`` for the sink, where ids are texts."""
+    return listed(long).withColumn("query_id", F.col("query_id").cast("string"))
+
+
+def with_query(long: DataFrame, flat: DataFrame) -> DataFrame:
+    """``as_arrays`` with the record of each query. The flat rows of the people go to the pools, which stay where they were filled, and become
+    records there: neither arrays nor records are shuffled."""
+    own = listed(long).join(by_sort(flat), F.col("query_id") == F.col("pid"))
+    made = as_person(own, "rationale", "candidate_ids", "match_ids")
+    return made.select(F.col("pid").cast("string").alias("query_id"), "rationale", "candidate_ids", "match_ids", F.col("person").alias("query"))

@@ -198,9 +198,7 @@ def candidate_rows(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def query_rows(spark: SparkSession, d: str) -> DataFrame:
-    long = pools.as_arrays(pools.pools(persona_dup(spark, d)))
-    who = as_person(persona(spark, d)).select(F.col("pid").cast("string").alias("query_id"), F.col("person").alias("query"))
-    rows = jsonl.query_rows(long.join(who, "query_id"))
+    rows = jsonl.query_rows(pools.with_query(pools.pools(persona_dup(spark, d)), persona(spark, d)))
     return rows.select("query_id", F.to_json("query").alias("query"), F.array_join("candidate_ids", ",").alias("candidate_ids"), F.array_join("expected_match_ids", ",").alias("expected_match_ids"), "rationale")
 
 
