@@ -41,6 +41,17 @@ def test_near_misses_by_meeting_equal_all_pairs(spark, monkeypatch):
     assert max(written) <= q.count() < sum(map(len, groups.values()))  # never the pairs
 
 
+def test_split_is_keyed_by_all_tasks(spark, monkeypatch):
+    """The people of near misses are keyed by more than one task and keep what a meeting reads."""
+    from weftlink.plans import pools
+    from weftlink.queries.people import _split
+
+    parts, stored = [], pools.stored
+    monkeypatch.setattr(pools, "stored", lambda df, *a: (parts.append(df.rdd.getNumPartitions()), stored(df, *a))[1])
+    q, k = _split(spark, "/root/testdata/sf0.001")
+    assert parts == [8] and set(k.columns) == set(mine.READ) and 0 < q.count() < k.count() == spark.read.parquet("/root/testdata/sf0.001/customer.parquet").count()
+
+
 def test_near_misses_deal_the_records_out_once(spark, monkeypatch):
     """Counting and ranking read one shuffle of the records, dealt out to as many tasks as sort their part in memory."""
     k = crowd(spark)
