@@ -1,6 +1,8 @@
 """Operators whose results must stay the same while what they write and sort stays small."""
 
 import hashlib
+import re
+import time
 from collections import Counter
 from datetime import date
 
@@ -232,3 +234,30 @@ def test_decoys_agree_by_their_kind(spark):
     out = pool_overlap(decoys, k)
     assert {r.category: (r.n, round(r.no_overlap_rate, 9)) for r in out.collect()} == {c: (len(v), round(sum(v) / len(v), 9)) for c, v in none.items()}
     assert joins(out) == {"SortMergeJoin"}
+
+
+def shuffles(spark):
+    """The shuffles whose files lie on disk."""
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ")
+    return set(re.findall(r"/shuffle_(\d+)_", files))
+
+
+def test_interleave_rank_keeps_no_shuffle_of_a_meeting(spark, monkeypatch):
+    """Near misses are met one meeting after the other and nothing is left of a meeting but its ranked pairs."""
+    from weftlink.queries.people import interleave_rank
+
+    k = crowd(spark)
+    q = k.where("id % 3 <> 1")
+    columns = ("a_id", "b_id", "kind", "seen", "rank")
+    for cap in (1, 3):
+        before = shuffles(spark)
+        out = mine.near_misses_in_turn(q, k, cap)
+        until = time.time() + 20
+        while len(shuffles(spark) - before) > 1 and time.time() < until:  # they are removed behind the driver's back; the count of the people stays
+            time.sleep(0.2)
+        assert len(shuffles(spark) - before) <= 1 and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+        want = Counter(tuple(r) for r in mine.near_misses(q, k, cap).select(*columns).collect())
+        assert Counter(tuple(r) for r in out.select(*columns).collect()) == want and len(want) > 100
+    written, released = [], mine.released
+    monkeypatch.setattr(mine, "released", lambda df, *a: (written.append(df.columns), released(df, *a))[1])
+    assert joins(interleave_rank(spark, "/root/testdata/sf0.001")) == set() and len(written) == 1 + len(mine.MEETINGS)

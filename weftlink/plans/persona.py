@@ -17,15 +17,16 @@ def _h(salt: str, e: Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat(F.lit(f"{salt}:"), e.cast("string"))), 1, 8), 16, 10).cast("bigint")
 
 
-def persona(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One flat row per customer."""
+def persona(spark: SparkSession, sf_dir: str, dealt: int | None = None) -> DataFrame:
+    """One flat row per customer; if need be their keys are ``dealt`` out to so many tasks before all else is made of them."""
     k = F.col("k")
     hh = F.floor(k / 3).cast("bigint")
     one = lambda names, i: F.element_at(F.array(*[F.lit(n) for n in names]), (i + 1).cast("int"))
     pad = lambda c, n: F.lpad(c.cast("string"), n, "0")
     phone_of = F.when(_h("shp", k) % 2 == 0, hh).otherwise(k + 1000000)
     ssn = F.concat((F.lit(100) + _h("s1", k) % 500).cast("string"), F.lit("-"), (F.lit(10) + _h("s2", k) % 80).cast("string"), F.lit("-"), (F.lit(1000) + _h("s3", k) % 7000).cast("string"))
-    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")).select(
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"))
+    return (customers.repartition(dealt) if dealt else customers).select(
         k.alias("pid"),
         one(GIVEN, _h("given", k) % 24).alias("given"),
         one(FAMILY, _h("fam", hh) % 40).alias("family"),

@@ -48,9 +48,9 @@ def place(every: DataFrame, size: int, seed: int = 0) -> DataFrame:
     return placed.withColumn("_c", told).withColumn("rationale", F.concat(F.lit("population"), F.when(F.size("_c") > 0, F.concat(F.lit("/"), F.array_join("_c", "+"))).otherwise(""))).drop("_c")
 
 
-def keys(flat: DataFrame, *columns: str) -> DataFrame:
-    """The flat keys of the people, written once. They are dealt out first: a small file of keys stands for much work."""
-    return stored(people(flat.repartition(tasks(flat.sparkSession))).select(*columns), "people")
+def keys(flat: DataFrame, *columns: str, dealt: bool = False) -> DataFrame:
+    """The flat keys of the people, written once. They are dealt out first, unless they are: a small file of keys stands for much work."""
+    return stored(people(flat if dealt else flat.repartition(tasks(flat.sparkSession))).select(*columns), "people")
 
 
 def pools(flat_dup: DataFrame, size: int = 40, seed: int = 0, profile: drift.Profile = drift.Profile(), cap: int = 10) -> DataFrame:
