@@ -96,6 +96,20 @@ def test_variants_are_counted_without_writing_them(spark, monkeypatch):
     assert joins(placed.join(drift.by_sort(placed.withColumnRenamed("k", "l")), F.col("k") == F.col("l"))) == {"SortMergeJoin"}
 
 
+def test_scenarios_are_planned_one_by_one(spark, monkeypatch):
+    from weftlink import session
+    from weftlink.operators import drift
+    from weftlink.plans.persona import as_person, persona
+
+    base = as_person(persona(spark, "/root/testdata/sf0.001")).select("pid", "person")
+    whole, written, cut = spark.conf.get("spark.sql.codegen.wholeStage", None), [], session.cut
+    monkeypatch.setattr(session, "cut", lambda df: (out := cut(df), written.append(({r.scenario for r in out.select("scenario").distinct().collect()}, spark.conf.get("spark.sql.codegen.wholeStage"))))[0])
+    told = {r.scenario for r in drift.variant_counts(base, base).collect()}
+    assert len(told) > 5 and len(written) == sum(rate > 0 for name, rate in drift.RATES.items() if name in drift.scenarios())
+    assert set().union(*[s for s, _ in written]) == told and all(len(s) <= 1 and on == "false" for s, on in written)
+    assert spark.conf.get("spark.sql.codegen.wholeStage", None) == whole
+
+
 def test_rebalance_sorts_about_what_it_keeps(spark, monkeypatch):
     from weftlink.operators import sample
 
