@@ -275,3 +275,21 @@ def test_interleave_rank_keeps_no_shuffle_of_a_meeting(spark, monkeypatch):
     written, released = [], mine.released
     monkeypatch.setattr(mine, "released", lambda df, *a: (written.append(df.columns), released(df, *a))[1])
     assert joins(interleave_rank(spark, "/root/testdata/sf0.001")) == set() and len(written) == 1 + len(mine.MEETINGS)
+
+
+def test_pair_tier_plans_the_exclusion_once(spark, monkeypatch):
+    """The rules of the exclusion are planned for all matches at once, over what is written of each kind; non-matches are read from what is written."""
+    from weftlink import session
+    from weftlink.plans import pairs
+
+    rows = [(i, "ANN", "HART", date(1960 + i, 1, 2), "female", "10001", f"{i} MAIN ST", "2125550143", None, None) for i in range(12)]
+    flat = spark.createDataFrame(rows, PEOPLE)
+    filters, cut = [], session.cut
+    monkeypatch.setattr(session, "cut", lambda df: (filters.append(df._jdf.queryExecution().optimizedPlan().toString().count("datediff")) if "label" in df.columns else None, cut(df))[1])
+    out = pairs.pair_tier(flat)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert filters == [1] and joins(out) == set() and plan.count("Exchange") <= 2
+    got = {(r.case_id, r.label) for r in out.collect()}
+    kept = pairs.Policy().kept(pairs.positives(flat), "person", "variant")
+    assert {c for c, label in got if label} == {f"{r.pair_type}:{r.subtype}:{r.pid}" for r in kept.collect()} != set()
+    assert {c for c, label in got if not label} == {f"{r.pair_type}:{r.subtype}:{r.source_id}:{r.target_id}" for r in pairs.negatives(flat).collect()} != set()
