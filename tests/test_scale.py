@@ -293,3 +293,19 @@ def test_pair_tier_plans_the_exclusion_once(spark, monkeypatch):
     kept = pairs.Policy().kept(pairs.positives(flat), "person", "variant")
     assert {c for c, label in got if label} == {f"{r.pair_type}:{r.subtype}:{r.pid}" for r in kept.collect()} != set()
     assert {c for c, label in got if not label} == {f"{r.pair_type}:{r.subtype}:{r.source_id}:{r.target_id}" for r in pairs.negatives(flat).collect()} != set()
+
+
+def test_records_write_the_matches_once_before_the_exclusion(spark, monkeypatch):
+    from weftlink.operators import drift
+    from weftlink.plans import dataset, pairs
+
+    rows = [(i, "ANN", "HART", date(1960 + i, 1, 2), "female", "10001", f"{i} MAIN ST", "2125550143", None, f"219-0{i}-9998") for i in range(1, 7)]
+    flat, profile = spark.createDataFrame(rows, PEOPLE), drift.Profile(rates=dict.fromkeys(drift.RATES, 0.0) | {"ssn_dropped": 1.0})
+    made = pairs.positives(flat, profile=profile).localCheckpoint()
+    monkeypatch.setattr(pairs, "positives", lambda *a: made)
+    monkeypatch.setattr(pairs, "negatives", lambda *a: spark.createDataFrame([(1, 2, "sibling_negative", "")], "source_id long, target_id long, pair_type string, subtype string"))
+    again, cut = [], dataset.cut
+    monkeypatch.setattr(dataset, "cut", lambda df: (again.append(df.columns), cut(df))[1])
+    got = {r.case_id for r in dataset.records(flat, profile=profile).where("expected_match").select("case_id").collect()}
+    assert got == {f"{r.pair_type}:{r.subtype}:{r.pid}" for r in pairs.Policy().kept(made, "person", "variant").collect()} != set()
+    assert again == []
